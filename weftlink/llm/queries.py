@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import linecrf, mixing, repetition
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,11 +17,56 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repetition.quality_rules(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    chain = linecrf.train(docs, _table(spark, sf_dir, "labels"))
+    out = linecrf.score_documents(docs, chain)
+    return out.select("doc_id", linecrf.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
+    "op3_quality_rules": op3_quality_rules,
+    "op9_line_crf": op9_line_crf,
     "op4_mix_sources": op4_mix_sources,
 }
 
 SQL = {
+    "op3_quality_rules": """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id
+), at AS (
+  SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d
+), w5 AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i:i + 4]) AS c FROM at WHERE i + 4 <= len(ws)
+), w16 AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i:i + 15]) AS c FROM at WHERE i + 15 <= len(ws)
+), w61 AS (
+  SELECT doc_id, max(c) > 1 AS too_long
+  FROM (SELECT doc_id, count(*) AS c FROM at WHERE i + 60 <= len(ws) GROUP BY doc_id, ws[i:i + 60]) GROUP BY doc_id
+), c5 AS (
+  SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM w5 WHERE c > 1) GROUP BY doc_id
+), c16 AS (
+  SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 16)) AS j FROM w16 WHERE c > 1) GROUP BY doc_id
+), base AS (
+  SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+         coalesce(c5.n, 0)::BIGINT AS n_repeat_words, coalesce(c16.n, 0) AS covered, coalesce(too_long, false) AS too_long
+  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN c5 USING (doc_id) LEFT JOIN c16 USING (doc_id) LEFT JOIN w61 USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * covered <= 10 * n_words AND NOT too_long AS kept
+FROM base
+""",
     "op4_mix_sources": """
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents
