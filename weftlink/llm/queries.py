@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linecrf, mixing, repetition
+from . import linecrf, mixing, passages, repetition
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,13 +29,36 @@ def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", linecrf.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = passages.drop_passages(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op8_passage_dedup": op8_passage_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op9_line_crf": op9_line_crf,
     "op4_mix_sources": op4_mix_sources,
 }
 
 SQL = {
+    "op8_passage_dedup": """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), spots AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50)
+), lowest AS (
+  SELECT w, min(doc_id) AS m FROM spots GROUP BY w HAVING min(doc_id) < max(doc_id)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM spots JOIN lowest USING (w) WHERE doc_id > m
+), g AS (
+  SELECT doc_id, list(j) AS js FROM gone GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(js), 0)::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN js IS NULL THEN ws ELSE list_filter(ws, lambda x, k: NOT list_contains(js, k)) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id)
+""",
     "op3_quality_rules": """
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
@@ -43,15 +66,15 @@ WITH d AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id
-), at AS (
+), spots AS (
   SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d
 ), w5 AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i:i + 4]) AS c FROM at WHERE i + 4 <= len(ws)
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i:i + 4]) AS c FROM spots WHERE i + 4 <= len(ws)
 ), w16 AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i:i + 15]) AS c FROM at WHERE i + 15 <= len(ws)
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i:i + 15]) AS c FROM spots WHERE i + 15 <= len(ws)
 ), w61 AS (
   SELECT doc_id, max(c) > 1 AS too_long
-  FROM (SELECT doc_id, count(*) AS c FROM at WHERE i + 60 <= len(ws) GROUP BY doc_id, ws[i:i + 60]) GROUP BY doc_id
+  FROM (SELECT doc_id, count(*) AS c FROM spots WHERE i + 60 <= len(ws) AND doc_id IN (SELECT doc_id FROM w16 WHERE c > 1) GROUP BY doc_id, ws[i:i + 60]) GROUP BY doc_id
 ), c5 AS (
   SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM w5 WHERE c > 1) GROUP BY doc_id
 ), c16 AS (
