@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linecrf, mixing, passages, repetition
+from . import linecrf, mixing, ngramjoin, passages, repetition
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +34,13 @@ def op8_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngramjoin.jaccard_groups(_table(spark, sf_dir, "documents"), size=3, percent=90)
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
+    "op10_ngram_join": op10_ngram_join,
     "op8_passage_dedup": op8_passage_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op9_line_crf": op9_line_crf,
@@ -42,6 +48,24 @@ QUERIES = {
 }
 
 SQL = {
+    "op10_ngram_join": """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 2], ' ')) AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM d WHERE len(ws) >= 3)
+  UNION ALL SELECT doc_id, md5(array_to_string(ws, ' ')) FROM d WHERE len(ws) IN (1, 2)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), links AS (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 90 * (na.n + nb.n - c)
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM d
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r
+)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id
+FROM (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN n USING (doc_id)
+""",
     "op8_passage_dedup": """
 WITH d AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
