@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linecrf, mixing, ngramjoin, passages, repetition
+from . import linecrf, mixing, ngramjoin, passages, repetition, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +39,13 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archive_round_trip(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op1_warc": op1_warc,
     "op10_ngram_join": op10_ngram_join,
     "op8_passage_dedup": op8_passage_dedup,
     "op3_quality_rules": op3_quality_rules,
@@ -48,6 +54,17 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_warc": """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND top <> page_id THEN top END AS refers_to
+FROM m
+""",
     "op10_ngram_join": """
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
