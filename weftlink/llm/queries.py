@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linecrf, mixing, ngramjoin, passages, repetition, warc
+from . import linecrf, mixing, ngramjoin, packing, passages, repetition, storage, warc
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file; the environment may name another place."""
+    import os
+
+    import public_tokenizers
+
+    return os.environ.get("WEFTLINK_TOKENIZER") or public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,7 +53,19 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op7_binary_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = storage.fresh_path(spark, "shards")
+    manifest = packing.write_shards(_table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return packing.read_shards(spark, path, manifest)
+
+
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op7_binary_shards": op7_binary_shards,
     "op1_warc": op1_warc,
     "op10_ngram_join": op10_ngram_join,
     "op8_passage_dedup": op8_passage_dedup,
