@@ -49,19 +49,19 @@ def _windows(size: int, both: bool):
     return source
 
 
-def _runs(refs: np.ndarray, at: np.ndarray) -> list[tuple[int, bytes]]:
-    """For each document its flagged window starts as (first, last) pairs of 32-bit numbers."""
+def _by_part(refs: np.ndarray, at: np.ndarray) -> list[tuple[int, int, bytes, bytes]]:
+    """Flagged window starts as one (part, n, documents, starts) row for each partition of docs."""
     order = np.lexsort((at, refs))
     refs, at = refs[order], at[order]
-    opens = np.flatnonzero(np.append(True, (refs[1:] != refs[:-1]) | (at[1:] > at[:-1] + 1)))
-    closes = np.append(opens[1:], len(at)) - 1
-    pairs = np.column_stack([at[opens], at[closes]]).astype("<i4")
-    docs = np.flatnonzero(np.append(True, refs[opens][1:] != refs[opens][:-1]))
-    return [(int(refs[opens[a]]), pairs[a:b].tobytes()) for a, b in zip(docs, np.append(docs[1:], len(opens)))]
+    cuts = np.flatnonzero(np.diff(refs >> 32, prepend=-1))
+    return [
+        (int(refs[a] >> 32), int(b - a), sketch._pack((refs[a:b] & 0xFFFFFFFF).astype("<u4")), sketch._pack(at[a:b].astype("<i4")))
+        for a, b in zip(cuts, np.append(cuts[1:], len(refs)))
+    ]
 
 
-def repeated_windows(docs: DataFrame, size: int = WINDOW) -> str:
-    """Folder of the window starts whose words also start in a document with a smaller id, by partition of docs.
+def repeated_windows(docs: DataFrame, size: int = WINDOW) -> tuple[str, int]:
+    """Folder, and number of its parts, of the window starts whose words also start in a document with a smaller id, by partition of docs.
 
     Pass 1 sketches all windows; pass 2 keeps those whose estimate is two or more, none of
     the repeated ones being lost. Inside a chunk a window with a smaller document at hand is
@@ -94,9 +94,8 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW) -> str:
             later[order] = ids[order] > lowest
             rows = {k: [] for k in fields}
             if later.any():
-                rest = _runs(refs[later], at[later])
-                for ref, pairs in rest:
-                    for k, v in zip(fields, (-1, len(pairs), pairs, b"", b"", ref.to_bytes(8, "little"), b"")):
+                for part_, n, docs_, starts_ in _by_part(refs[later], at[later]):
+                    for k, v in zip(fields, (-1 - part_, n, b"", b"", b"", docs_, starts_)):
                         rows[k].append(v)
             own = ~later
             bucket = (one[own] % np.uint64(buckets)).astype(np.int64)
@@ -119,38 +118,33 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW) -> str:
         fresh = np.append(True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]))
         lowest = ids[order][fresh][np.cumsum(fresh) - 1]
         gone = order[ids[order] > lowest]
-        found = _runs(refs[gone], pos[gone]) if len(gone) else []
-        return pa.table({"part": pa.array([r >> 32 for r, _ in found], pa.int64()), "ref": pa.array([r & 0xFFFFFFFF for r, _ in found], pa.int64()), "spans": pa.array([p for _, p in found], pa.binary())})
+        found = _by_part(refs[gone], pos[gone]) if len(gone) else []
+        return pa.table({k: pa.array([x[i] for x in found], kind) for i, (k, kind) in enumerate((("part", pa.int64()), ("n", pa.int64()), ("docs", pa.binary()), ("starts", pa.binary())))})
 
     kinds = ", ".join(f"{k} {'long' if k in ('bucket', 'n') else 'binary'}" for k in fields)
     rows = storage.cut(docs.mapInArrow(survivors, kinds).withColumn("here", (F.col("bucket") < 0).cast("int")), "windows", ["here"])
-    remote = rows.where("here = 0").groupBy("bucket").applyInArrow(grouped, "part long, ref long, spans binary")
-    local = rows.where("here = 1").select(*_ref_columns(), F.col("one").alias("spans"))
+    remote = rows.where("here = 0").groupBy("bucket").applyInArrow(grouped, "part long, n long, docs binary, starts binary")
+    local = rows.where("here = 1").select((-1 - F.col("bucket")).alias("part"), "n", F.col("ref").alias("docs"), F.col("pos").alias("starts"))
     path = storage.fresh_path(spark, "spans")
-    out = remote.unionByName(local).withColumn("folder", (F.col("part") % sketch.FOLDERS).cast("int"))
-    out.repartition(sketch.FOLDERS, "folder").sortWithinPartitions("part", "ref").write.partitionBy("folder").parquet(path)
+    out = remote.unionByName(local).withColumn("folder", (F.col("part") % plan.folders).cast("int"))
+    out.repartition(plan.folders, "folder").write.partitionBy("folder").option("compression", "none").parquet(path)
     storage.drop_cut(rows)
     storage.drop_path(spark, counts)
-    return path
+    return path, plan.folders
 
 
-def _ref_columns() -> list:
-    """part and ref from the eight little-endian bytes of a document's reference."""
-    big = F.concat(*[F.substring(F.col("ref"), i, 1) for i in range(8, 0, -1)])
-    whole = F.conv(F.hex(big), 16, 10).cast("long")
-    return [F.shiftright(whole, 32).alias("part"), whole.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).alias("ref")]
-
-
-def _spans(path: str, part: int) -> dict[int, np.ndarray]:
+def _flagged(path: str, part: int, folders: int) -> tuple[np.ndarray, np.ndarray]:
+    """Documents (by their place in the partition) and starts of the flagged windows, in order."""
     fs, root = pfs.FileSystem.from_uri(path)
-    folder = f"{root}/folder={part % sketch.FOLDERS}"
+    folder = f"{root}/folder={part % folders}"
     if fs.get_file_info(folder).type == pfs.FileType.NotFound:
-        return {}
-    table = pds.dataset(folder, filesystem=fs, format="parquet").to_table(columns=["ref", "spans"], filter=pds.field("part") == part)
-    out: dict[int, list] = {}
-    for ref, spans in zip(table.column("ref").to_pylist(), table.column("spans").to_pylist()):
-        out.setdefault(ref, []).append(np.frombuffer(spans, "<i4").reshape(-1, 2))
-    return {k: np.vstack(v) for k, v in out.items()}
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    table = pds.dataset(folder, filesystem=fs, format="parquet").to_table(columns=["n", "docs", "starts"], filter=pds.field("part") == part)
+    n, docs, starts = (table.column(c).to_pylist() for c in ("n", "docs", "starts"))
+    refs = np.concatenate([np.zeros(0, np.uint32), *[sketch._unpack(b, "<u4", k) for b, k in zip(docs, n)]]).astype(np.uint32)
+    at = np.concatenate([np.zeros(0, np.int32), *[sketch._unpack(b, "<i4", k) for b, k in zip(starts, n)]]).astype(np.int32)
+    order = np.argsort(refs, kind="stable")
+    return refs[order], at[order]
 
 
 def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
@@ -167,21 +161,21 @@ def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     empty result; other columns of docs are not read.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    path = repeated_windows(own, size)
+    path, folders = repeated_windows(own, size)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        spans = _spans(path, part)
+        refs, at = _flagged(path, part, folders)
         for batch in batches:
             data, borders = bw.buffers(batch.column(1))
             for lo, hi in bw.slices(borders):
                 text, own = data[borders[lo] : borders[hi]], borders[lo : hi + 1] - borders[lo]
                 starts, ends, first = bw.word_spans(text, own)
                 edge = np.zeros(len(starts) + 1, np.int64)
-                for i in range(hi - lo):
-                    for a, b in spans.get(before + i, ()):
-                        edge[first[i] + a] += 1
-                        edge[first[i] + b + size] -= 1
+                a, b = np.searchsorted(refs, (before, before + hi - lo))
+                begin = first[refs[a:b].astype(np.int64) - before] + at[a:b]
+                np.add.at(edge, begin, 1)
+                np.add.at(edge, begin + size, -1)
                 before += hi - lo
                 kept = np.cumsum(edge[:-1]) == 0
                 doc = np.searchsorted(first, np.arange(len(starts)), "right") - 1

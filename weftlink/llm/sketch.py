@@ -26,11 +26,11 @@ from . import storage
 #: Hash functions, that is rows of the sketch.
 DEPTH = 2
 #: Hashes of one chunk: what a task holds before it sketches them.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: Counters of one range, about: what a merging task holds at once.
 RANGE = 1 << 20
-#: Folders that the answers are dealt to.
-FOLDERS = 64
+#: Answers, about, that one folder holds; there are FOLDERS at least.
+FOLDER, FOLDERS = 1 << 23, 64
 _U = np.uint64
 _SALTS = [_U(0x9FB21C651E98DF25), _U(0xD1B54A32D192ED03), _U(0x8CB92BA72F3D8DD7), _U(0xABC98388FB8FAC03)]
 
@@ -64,6 +64,7 @@ class Plan:
         self.bits = min(60, max(18, math.ceil(math.log2(max(n, 1))) + 4))
         self.range_bits = min(self.bits - 2, max(3, math.ceil(math.log2(max(n / RANGE, 1)))))
         self.depth, self.chunk = depth, chunk
+        self.folders = max(FOLDERS, n // FOLDER)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], source: Source, chunk: int) -> Iterator[list[tuple[np.ndarray, object]]]:
@@ -91,7 +92,7 @@ def counted(df: DataFrame, source: Source, plan: Plan) -> str:
     whenever the same partition is read. Answers carry a fingerprint of their chunk, so a
     second pass over other rows fails instead of giving wrong counts.
     """
-    depth, bits, low, chunk = plan.depth, plan.bits, plan.bits - plan.range_bits, plan.chunk
+    depth, bits, low, chunk, folders = plan.depth, plan.bits, plan.bits - plan.range_bits, plan.chunk, plan.folders
     names = ["row", "rng", "key", "mark", "n", "width", "cells", "counts"]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +123,7 @@ def counted(df: DataFrame, source: Source, plan: Plan) -> str:
         answer[order] = np.repeat(total, np.diff(np.append(opens, len(own))))
         cuts = np.split(answer, np.cumsum(sizes)[:-1])
         return pa.table({
-            "folder": pa.array([k % FOLDERS for k in at["key"]], pa.int32()), "key": pa.array(at["key"], pa.int64()), "mark": pa.array(at["mark"], pa.int64()),
+            "folder": pa.array([k % folders for k in at["key"]], pa.int32()), "key": pa.array(at["key"], pa.int64()), "mark": pa.array(at["mark"], pa.int64()),
             "row": pa.array(at["row"], pa.int64()), "rng": pa.array(at["rng"], pa.int64()), "n": pa.array(sizes, pa.int64()),
             "counts": pa.array([_pack(c) for c in cuts], pa.binary()),
         })
@@ -130,13 +131,13 @@ def counted(df: DataFrame, source: Source, plan: Plan) -> str:
     rows = df.mapInArrow(sketch, "row long, rng long, key long, mark long, n long, width long, cells binary, counts binary")
     answers = rows.groupBy("row", "rng").applyInArrow(merge, "folder int, key long, mark long, row long, rng long, n long, counts binary")
     path = storage.fresh_path(df.sparkSession, "counts")
-    answers.repartition(FOLDERS, "folder").write.partitionBy("folder").option("compression", "none").parquet(path)
+    answers.repartition(folders, "folder").write.partitionBy("folder").option("compression", "none").parquet(path)
     return path
 
 
-def _answers(path: str, key: int, depth: int) -> tuple[list[np.ndarray], int | None]:
+def _answers(path: str, key: int, depth: int, folders: int) -> tuple[list[np.ndarray], int | None]:
     fs, root = pfs.FileSystem.from_uri(path)
-    folder = f"{root}/folder={key % FOLDERS}"
+    folder = f"{root}/folder={key % folders}"
     if fs.get_file_info(folder).type == pfs.FileType.NotFound:
         return [], None
     table = pds.dataset(folder, filesystem=fs, format="parquet").to_table(columns=["mark", "row", "rng", "n", "counts"], filter=pds.field("key") == key)
@@ -150,7 +151,7 @@ def estimated(batches: Iterator[pa.RecordBatch], source: Source, plan: Plan, pat
     part = TaskContext.get().partitionId()
     for c, items in enumerate(_chunks(batches, source, plan.chunk)):
         hashes = np.concatenate([h for h, _ in items])
-        answers, mark = _answers(path, _key(part, c), plan.depth)
+        answers, mark = _answers(path, _key(part, c), plan.depth, plan.folders)
         if len(hashes) and mark != int(hashes.sum(dtype=_U) >> _U(1)):
             raise RuntimeError("the second pass reads other rows than the first: write the input as a table first")
         found = np.full(len(hashes), 255, np.uint8)
