@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linecrf, mixing, ngramjoin, packing, passages, repetition, storage, warc
+from . import forest, linecrf, mixing, ngramjoin, packing, passages, repetition, storage, warc
 
 
 def tokenizer_path() -> str:
@@ -63,7 +63,12 @@ def op7_binary_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.read_shards(spark, path, manifest)
 
 
+def op6_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op6_projection_forest": op6_projection_forest,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op7_binary_shards": op7_binary_shards,
     "op1_warc": op1_warc,
