@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import forest, linecrf, mixing, ngramjoin, packing, passages, repetition, storage, warc
+from . import forest, linecrf, linededup, mixing, ngramjoin, packing, passages, repetition, storage, warc
 
 
 def tokenizer_path() -> str:
@@ -67,7 +67,12 @@ def op6_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op5_line_dedup": op5_line_dedup,
     "op6_projection_forest": op6_projection_forest,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op7_binary_shards": op7_binary_shards,
