@@ -232,3 +232,22 @@ def score_documents(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.clip(total, 0, 1))], names=["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(judge, "doc_id long, score double")
+
+
+def keep_good(docs: DataFrame, chain: Chain, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of docs that score_documents gives `least` or more, with all their columns, in one scan."""
+    weights, moves = chain.weights, chain.moves
+    at = docs.columns.index(text_col)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Chain(weights, moves)
+        for batch in batches:
+            data, borders = bw.buffers(batch.column(at))
+            for lo, hi in bw.slices(borders):
+                x, weight, first = line_features(data[borders[lo] : borders[hi]], borders[lo : hi + 1] - borders[lo])
+                p = model.marginals(with_neighbours(x.astype(np.float16).astype(np.float64), first), first)
+                w = weight + 1e-6
+                total = np.add.reduceat(p * w, first[:-1]) / np.add.reduceat(w, first[:-1])
+                yield batch.slice(lo, hi - lo).filter(pa.array(total >= least))
+
+    return docs.mapInArrow(judge, docs.schema)

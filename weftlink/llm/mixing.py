@@ -110,14 +110,27 @@ def mix_sources(
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights=WEIGHTS,
+    max_rate: float = MAX_RATE,
+    seed: str = "mix",
+) -> DataFrame:
     """The mixed corpus: every row of docs as often as the mix takes it, with the columns of docs.
 
-    Copies are made by exploding a sequence of at most ceil(max_rate) numbers per row.
-    The draws are joined back by id, so ids should be unique; rows that share an id get
-    the copies of that id each.
+    Sizes are summed by source in one scan; the second scan gets each source's rate and
+    repeats its rows by exploding a sequence of at most ceil(max_rate) numbers, so texts
+    are not dealt out. Cases as in mix_sources.
     """
-    id_col = options.get("id_col", "doc_id")
-    copies = mix_sources(docs, **options).groupBy("doc_id").agg(F.max("copies").alias("__copies")).withColumnRenamed("doc_id", "__id")
-    joined = docs.join(copies, docs[id_col].eqNullSafe(F.col("__id"))).where(F.col("__copies") > 0)
-    return joined.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*[joined[c] for c in docs.columns])
+    sizes = docs.groupBy(F.col(source_col).alias("source")).agg(F.sum(word_count(F.col(text_col))).alias("source_size"))
+    targets = source_targets(storage.cut(sizes, "sizes"), weights, max_rate)
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    t = storage.small(storage.cut(targets.select(F.col("source").alias("__s"), rate.alias("__rate")), "rates"), 64)
+    joined = docs.join(t, docs[source_col].eqNullSafe(t["__s"]))
+    extra = unit_hash(seed, docs[id_col]) < F.col("__rate") - F.floor("__rate")
+    copies = (F.floor("__rate") + extra.cast("long")).cast("int")
+    taken = joined.withColumn("__copies", copies).where(F.col("__copies") > 0)
+    return taken.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[docs[c] for c in docs.columns])

@@ -190,7 +190,9 @@ def similar_pairs(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Groups of documents that links join: doc_id, n_shingles, component_id and leader.
+    """Groups of documents that links join: doc_id, node, n_shingles, component_id and leader.
+
+    node is the row's place in docs: its partition, shifted by 32 bits, plus its number there.
 
     Texts are lower-cased in A-Z and cut into words; a set holds the distinct runs of
     `size` words. Two documents link when 100 * intersection >= percent * union.
@@ -219,3 +221,24 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     near = alive.select("doc_id", "node", "n", "h1", "h2").join(by_set, ["h1", "h2", "n"]).select("doc_id", "node", F.col("n").alias("n_shingles"), "component_id", (F.col("node") == F.col("lead")).alias("leader"))
     far = rows.where("keys IS NULL").select("doc_id", "node", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("leader"))
     return near.unionByName(far)
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """docs with one row of each group of jaccard_groups, its leader; all columns are kept.
+
+    Rows are known by their place, so texts are not dealt out unless the rows that go are
+    too many to broadcast.
+    """
+    gone = jaccard_groups(docs, id_col, text_col, size, percent).where("NOT leader").select(F.col("node").alias("__node"))
+    gone = storage.small(storage.cut(gone, "gone"), 16)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(at, at + len(batch)), pa.int64())], names=[*batch.schema.names, "__node"])
+            at += len(batch)
+
+    from pyspark.sql import types as T
+
+    numbered = docs.mapInArrow(number, T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))
+    return numbered.join(gone, "__node", "left_anti").select(*docs.columns)
