@@ -78,23 +78,24 @@ def ratio(a: str, b: str) -> float:
 
 
 def partial_ratio(a: str, b: str) -> float:
-    """Best ratio of the shorter string with a window of its length in the longer; windows at the ends may be shorter."""
+    """Best ratio of the shorter string with a window of its length in the longer; windows at the ends may be shorter.
+
+    One step moves the common subsequence by one letter at most, so after each window as
+    many are passed over as cannot be better than the best so far.
+    """
     if not a or not b:
         return 100.0 if a == b else 0.0
-    s, t = (a, b) if len(a) <= len(b) else (b, a)
-    if s in t:
-        return 100.0
-    letters, best = set(s), 0.0
-    for at in range(1 - len(s), len(t)):
-        lo, hi = max(at, 0), min(at + len(s), len(t))
-        # the best window begins and ends with a letter of the shorter string
-        if (t[lo] in letters or lo == 0) and (t[hi - 1] in letters or hi == len(t)):
-            best = max(best, ratio(s, t[lo:hi]))
-    if len(a) == len(b):
-        for at in range(1 - len(s), len(s)):
-            lo, hi = max(at, 0), min(at + len(s), len(s))
-            best = max(best, ratio(t, s[lo:hi]))
-    return best
+    best = 0.0
+    for s, t in ((a, b), (b, a)) if len(a) == len(b) else ((a, b) if len(a) < len(b) else (b, a),):
+        if s in t:
+            return 100.0
+        at = 1 - len(s)
+        while at < len(t):
+            lo, hi = max(at, 0), min(at + len(s), len(t))
+            common, size = lcs_length(s, t[lo:hi]), len(s) + hi - lo
+            best = max(best, 2 * common / size)
+            at += max(1, int((best * size - 2 * common) / (2 + best)))
+    return 100.0 * best
 
 
 def token_sort_ratio(a: str, b: str) -> float:

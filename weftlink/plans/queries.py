@@ -193,12 +193,12 @@ def knn_embed(spark, d):
 
 
 def _featured(spark, d):
-    r = text.normalized(V.records(spark, d))
+    r = text.normalized(V.records(spark, d)).persist()
     l, right = V.sides(r)
     keys = blocking.join_keys(blocking.record_keys(l), blocking.record_keys(right), V.BLOCK_PAIRS)
     cands = features.cheap_features(blocking.merge_candidates([keys]), l, right)
     scored = cands.select("l_idx", "r_idx", *blocking.SCORES, "from_keys", (F.col("name_tset") / 200 + F.col("name_jw") / 2).alias("cheap_score"))
-    full = features.full_features(features.context_features(blocking.top_k(scored, "cheap_score", 10)), l, right)
+    full = features.full_features(features.context_features(blocking.top_k(scored, "cheap_score", 10)).persist(), l, right)
     return metrics.label_pairs(full, V.truth(V.simple(spark, d)))
 
 
