@@ -81,7 +81,8 @@ def partial_ratio(a: str, b: str) -> float:
     """Best ratio of the shorter string with a window of its length in the longer; windows at the ends may be shorter.
 
     One step moves the common subsequence by one letter at most, so after each window as
-    many are passed over as cannot be better than the best so far.
+    many are passed over as cannot be better than the best so far. Whole windows come
+    first: their best rules most of the short ones out.
     """
     if not a or not b:
         return 100.0 if a == b else 0.0
@@ -89,12 +90,13 @@ def partial_ratio(a: str, b: str) -> float:
     for s, t in ((a, b), (b, a)) if len(a) == len(b) else ((a, b) if len(a) < len(b) else (b, a),):
         if s in t:
             return 100.0
-        at = 1 - len(s)
-        while at < len(t):
-            lo, hi = max(at, 0), min(at + len(s), len(t))
-            common, size = lcs_length(s, t[lo:hi]), len(s) + hi - lo
-            best = max(best, 2 * common / size)
-            at += max(1, int((best * size - 2 * common) / (2 + best)))
+        n = len(s)
+        for at, stop in ((0, len(t) - n + 1), (1 - n, 0), (len(t) - n + 1, len(t))):
+            while at < stop:
+                lo, hi = max(at, 0), min(at + n, len(t))
+                common, size = lcs_length(s, t[lo:hi]), n + hi - lo
+                best = max(best, 2 * common / size)
+                at += max(1, int((best * size - 2 * common) / (2 + best)))
     return 100.0 * best
 
 

@@ -103,22 +103,22 @@ def address_parts(raw: Column, learned: dict[str, str] | None = None, any_script
     return F.filter(F.transform(F.split(clean(raw, True, any_script), ","), part), lambda p: F.size(p) > 0)
 
 
-def address_columns(parts: Column) -> dict[str, Column]:
-    """addr_norm, postcode, house_no, street_tok, num_tokens and localities from address_parts."""
-    joined = F.array_join(F.transform(parts, lambda p: F.array_join(p, " ")), ",")
-    code = postcode_text(joined)
-    code_words = words(code)
+def _numbers(p: Column, code_words: Column) -> Column:
+    return F.filter(p, lambda t: t.rlike("[0-9]") & ~F.array_contains(code_words, t))
 
-    def numbers(p):
-        return F.filter(p, lambda t: t.rlike("[0-9]") & ~F.array_contains(code_words, t))
 
-    with_number = F.transform(parts, lambda p: F.size(numbers(p)) > 0)
-    at = F.array_position(with_number, True)  # 1-based, 0 if no part has one
-    house = F.coalesce(F.try_element_at(numbers(F.try_element_at(parts, F.when(at > 0, at).cast("int"))), F.lit(1)), F.lit(""))
-    not_names = F.array(*[F.lit(x) for x in sorted({*D.STREET_TYPES, *D.OTHER_WORDS})])
+def address_columns(parts: Column, code: Column, code_words: Column, at: Column) -> dict[str, Column]:
+    """addr_norm, postcode, house_no, street_tok, num_tokens and localities.
+
+    parts come from address_parts, code and its words from postcode_text; at is the place,
+    from 1, of the first part with a number beyond the postcode, 0 if there is none. They
+    are columns and no expressions, since a lambda evaluates what it holds for every word.
+    """
+    house = F.coalesce(F.try_element_at(_numbers(F.try_element_at(parts, F.when(at > 0, at).cast("int")), code_words), F.lit(1)), F.lit(""))
+    not_names = "^(?:" + "|".join(sorted({*D.STREET_TYPES, *D.OTHER_WORDS})) + ")$"
 
     def longest(p):
-        own = F.filter(p, lambda t: t.rlike("^[a-z]{2,}$") & ~F.array_contains(not_names, t))
+        own = F.filter(p, lambda t: t.rlike("^[a-z]{2,}$") & ~t.rlike(not_names))
         return F.aggregate(own, F.lit(""), lambda best, t: F.when(F.length(t) > F.length(best), t).otherwise(best))
 
     near = F.filter(F.transform(F.slice(parts, F.greatest(at, F.lit(1)).cast("int"), 2), longest), lambda t: t != "")
@@ -137,4 +137,8 @@ def normalized(df, learned: dict[str, dict[str, str]] | None = None, name_col: s
     name, address = F.coalesce(F.col(name_col), F.lit("")), F.coalesce(F.col(address_col), F.lit(""))
     made = name_parts(name, learned.get("name"), any_script)
     out = df.withColumns(made | {"name_script": script(name), "__parts": address_parts(address, learned.get("addr"), any_script)})
-    return out.withColumns(address_columns(F.col("__parts"))).select(*df.columns, *NORMAL_COLUMNS)
+    parts = F.col("__parts")
+    out = out.withColumn("__code", postcode_text(F.array_join(F.transform(parts, lambda p: F.array_join(p, " ")), ",")))
+    out = out.withColumn("__code_words", words(F.col("__code")))
+    out = out.withColumn("__at", F.array_position(F.transform(parts, lambda p: F.size(_numbers(p, F.col("__code_words"))) > 0), True))
+    return out.withColumns(address_columns(parts, F.col("__code"), F.col("__code_words"), F.col("__at"))).select(*df.columns, *NORMAL_COLUMNS)
