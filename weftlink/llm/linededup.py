@@ -29,24 +29,21 @@ def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
 
 
 def _keys(line: Column, length: Column, edits: int) -> Column:
-    """Keys of a line: those under which its own segments are found, and those that it looks up.
+    """Keys of a line: first those of its own edits + 1 segments, then those that it looks up besides.
 
     A line looks up lines of its length or up to `edits` less. Of each of these lengths
     and segments it tries only the places that an alignment with at most i edits before
-    segment i and edits - i after it allows.
+    segment i and edits - i after it allows; its own segments are among them. All places
+    lie inside a line of MIN_CHARS or of three characters a segment.
     """
-    found = []
-    for i in range(edits + 1):
-        start, size = _segment(length, i, edits)
-        found.append(F.struct(F.xxhash64(F.lit(i), length, F.substring(line, start, size)).alias("key"), F.lit(True).alias("own")))
+    own, others = [], []
     for less in range(edits + 1):
         for i in range(edits + 1):
             start, size = _segment(length - less, i, edits)
             for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1):
                 key = F.xxhash64(F.lit(i), length - less, F.substring(line, start + shift, size))
-                ok = (start + shift >= 1) & (start + shift + size - 1 <= length)
-                found.append(F.when(ok, F.struct(key.alias("key"), F.lit(False).alias("own"))))
-    return F.filter(F.array(*found), lambda x: x.isNotNull())
+                (own if less == 0 and shift == 0 else others).append(key)
+    return F.array(*own, *others)
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -82,15 +79,17 @@ def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = MAX_EDI
     distance of the engine. Equal lines are one line throughout.
     """
     lines = _lines(docs, min_chars)
-    keys = lines.select("id", F.explode(_keys(F.col("line"), F.col("length"), edits)).alias("k")).select(F.col("k.key").alias("key"), "id", F.col("k.own").alias("own"))
-    spread = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("key")
+    if min_chars < 3 * (edits + 1):
+        raise ValueError("lines need three characters a segment")
+    keys = lines.select("id", F.posexplode(_keys(F.col("line"), F.col("length"), edits)).alias("place", "key")).select("key", "id", (F.col("place") <= edits).alias("own"))
+    spread = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max("own").alias("any_own")).where("low <> high AND any_own").select("key")
     shared = storage.cut(keys.join(spread, "key").distinct(), "keys")
     ids = storage.cut(shared.select("id").distinct(), "ids")
     texts = lines.select("id", "line").join(storage.small(ids, 16), "id").dropDuplicates(["id"])
     texts = storage.cut(texts.withColumn("sig", _signature(F.col("line"))), "texts")
     signed = storage.cut(shared.join(texts.select("id", "sig"), "id"), "signed")
     own = signed.where("own").select("key", F.col("id").alias("a"), F.col("sig").alias("sa"))
-    probe = signed.where("NOT own").select("key", F.col("id").alias("b"), F.col("sig").alias("sb"))
+    probe = signed.select("key", F.col("id").alias("b"), F.col("sig").alias("sb"))
     pairs = own.join(probe, "key").where((F.col("a") != F.col("b")) & _may_be_near(F.col("sa"), F.col("sb"), edits))
     pairs = storage.cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     la = texts.select(F.col("id").alias("a"), F.col("line").alias("la"))
