@@ -201,7 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Chain:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(packed, pa.binary())], names=["doc_id", "quality", "x"])
 
     rows = training_rows(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")), most)
-    found = rows.select("doc_id", "text", "quality").mapInArrow(lines, "doc_id long, quality int, x binary").collect()
+    found = rows.select("doc_id", "text", "quality").mapInArrow(bw.tidied(lines), "doc_id long, quality int, x binary").collect()
     found.sort(key=lambda r: (r["doc_id"], r["x"]))
     xs = [np.load(io.BytesIO(r["x"])).astype(np.float64) for r in found]
     first = np.concatenate([[0], np.cumsum([len(x) for x in xs])]).astype(np.int64)
@@ -231,7 +231,7 @@ def score_documents(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_
                 total = np.add.reduceat(p * w, first[:-1]) / np.add.reduceat(w, first[:-1])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.clip(total, 0, 1))], names=["doc_id", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(judge, "doc_id long, score double")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(bw.tidied(judge), "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, chain: Chain, least: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -250,4 +250,4 @@ def keep_good(docs: DataFrame, chain: Chain, least: float = 0.5, text_col: str =
                 total = np.add.reduceat(p * w, first[:-1]) / np.add.reduceat(w, first[:-1])
                 yield batch.slice(lo, hi - lo).filter(pa.array(total >= least))
 
-    return docs.mapInArrow(judge, docs.schema)
+    return docs.mapInArrow(bw.tidied(judge), docs.schema)

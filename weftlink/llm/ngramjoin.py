@@ -92,7 +92,7 @@ def ordered_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 lists = pa.array([x if a else None for x, a in zip(lists, alive)], pa.list_(pa.int64())) if not alive.all() else lists
                 yield pa.RecordBatch.from_arrays([ids, pa.array(node), pa.array(n, pa.int64()), pa.array(sums[0]), pa.array(sums[1]), lists], names=names)
 
-    out = storage.cut(docs.mapInArrow(sets, "doc_id long, node long, n long, h1 long, h2 long, keys array<long>"), "sets")
+    out = storage.cut(docs.mapInArrow(bw.tidied(sets), "doc_id long, node long, n long, h1 long, h2 long, keys array<long>"), "sets")
     storage.drop_path(docs.sparkSession, counts)
     return out
 

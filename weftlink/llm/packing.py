@@ -14,6 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import bytewords as bw
 from . import storage, tokens
 
 #: Tokens of a sequence.
@@ -49,7 +50,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN, end_id:
                 )
                 node += hi - lo
 
-    return docs.mapInArrow(cut, "node long, doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.mapInArrow(bw.tidied(cut), "node long, doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit_rounds(counts: dict[int, int], seq_len: int) -> list[tuple[int, int, int, int, int]]:
@@ -295,7 +296,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, seq_len: int =
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], k) for i, k in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=["shard", "sequences", "segments", "tokens"])
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return storage.cut(own.mapInArrow(write, "shard string, sequences long, segments long, tokens long"), "manifest")
+    return storage.cut(own.mapInArrow(bw.tidied(write), "shard string, sequences long, segments long, tokens long"), "manifest")
 
 
 def read_shards(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:

@@ -122,7 +122,7 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW) -> tuple[str, int]:
         return pa.table({k: pa.array([x[i] for x in found], kind) for i, (k, kind) in enumerate((("part", pa.int64()), ("n", pa.int64()), ("docs", pa.binary()), ("starts", pa.binary())))})
 
     kinds = ", ".join(f"{k} {'long' if k in ('bucket', 'n') else 'binary'}" for k in fields)
-    rows = storage.cut(docs.mapInArrow(survivors, kinds).withColumn("here", (F.col("bucket") < 0).cast("int")), "windows", ["here"])
+    rows = storage.cut(docs.mapInArrow(bw.tidied(survivors), kinds).withColumn("here", (F.col("bucket") < 0).cast("int")), "windows", ["here"])
     remote = rows.where("here = 0").groupBy("bucket").applyInArrow(grouped, "part long, n long, docs binary, starts binary")
     local = rows.where("here = 1").select((-1 - F.col("bucket")).alias("part"), "n", F.col("ref").alias("docs"), F.col("pos").alias("starts"))
     path = storage.fresh_path(spark, "spans")
@@ -195,4 +195,4 @@ def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 left = np.bincount(d, minlength=hi - lo)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(total, pa.int64()), pa.array(total - left, pa.int64()), kept_text.cast(pa.string())], names=["doc_id", "n_words", "n_removed", "text"])
 
-    return own.mapInArrow(clean, "doc_id long, n_words long, n_removed long, text string")
+    return own.mapInArrow(bw.tidied(clean), "doc_id long, n_words long, n_removed long, text string")

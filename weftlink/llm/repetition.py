@@ -197,4 +197,4 @@ def quality_rules(
 
     from pyspark.sql import functions as F
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(judge, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(bw.tidied(judge), SCHEMA)

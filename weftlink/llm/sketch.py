@@ -128,7 +128,7 @@ def counted(df: DataFrame, source: Source, plan: Plan) -> str:
             "counts": pa.array([_pack(c) for c in cuts], pa.binary()),
         })
 
-    rows = df.mapInArrow(sketch, "row long, rng long, key long, mark long, n long, width long, cells binary, counts binary")
+    rows = df.mapInArrow(bw.tidied(sketch), "row long, rng long, key long, mark long, n long, width long, cells binary, counts binary")
     answers = rows.groupBy("row", "rng").applyInArrow(merge, "folder int, key long, mark long, row long, rng long, n long, counts binary")
     path = storage.fresh_path(df.sparkSession, "counts")
     answers.repartition(folders, "folder").write.partitionBy("folder").option("compression", "none").parquet(path)

@@ -19,9 +19,9 @@ import pyarrow.compute as pc
 from . import bytewords as bw
 
 #: Distinct parts that a worker keeps before it begins again.
-CACHE_PARTS = 2_000_000
+CACHE_PARTS = 1_000_000
 #: Bytes of text that are encoded at a time.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: How byte-level BPE vocabularies of this family split a text (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: White space beyond ASCII, and separators that some engines take for it: a text with any is encoded whole.
