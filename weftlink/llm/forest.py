@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,31 +13,31 @@ from . import bytewords as bw
 from . import components, storage
 
 #: Trees; vectors that a leaf may hold; share of a node that goes to both of its children.
-TREES, LEAF, SPILL = 10, 512, 0.3
-#: Rows of a node, about, whose projections set its thresholds, and levels split in one round.
-SAMPLE, LEVELS = 4096, 3
+TREES, LEAF, SPILL = 8, 1024, 0.12
+#: Rows of a node, about, whose projections set its thresholds, and levels split in one round at most.
+SAMPLE, LEVELS = 4096, 4
 #: A node that cannot be split below this share of its size in a round is dense: its vectors are compared in blocks.
 DENSE = 0.9
 ROUNDS = 24
 
 
-def _plane(tree: int, node: int, dims: int) -> np.ndarray:
-    """The random direction of a node: a function of the tree and the node's path, so it needs no storage."""
-    seed = int(bw.mix(np.array([(tree << 56) ^ node], np.uint64))[0])
+def _plane(node: int, dims: int) -> np.ndarray:
+    """The random direction of a node: a function of its number, which the path from its tree's root makes, so it needs no storage."""
+    seed = int(bw.mix(np.array([node], np.int64).view(np.uint64))[0])
     return np.random.default_rng(seed).standard_normal(dims)
 
 
 def _child(node: int, right: int) -> int:
-    return int(bw.mix(np.array([node * 2 + right + 0x51ED270B], np.uint64))[0] >> np.uint64(8))
+    return int(bw.mix(np.array([node], np.int64).view(np.uint64) * np.uint64(2) + np.uint64(right + 0x51ED270B))[0] >> np.uint64(1))
 
 
-def fit_node(vectors: np.ndarray, tree: int, node: int, levels: int, spill: float) -> list[tuple[int, float, float]]:
+def fit_node(vectors: np.ndarray, node: int, levels: int, spill: float) -> list[tuple[int, float, float]]:
     """(node, low, high) of a subtree: what projects below high goes left, above low goes right."""
     out, work = [], [(node, vectors)]
     for _ in range(levels):
         after = []
         for own, v in work:
-            p = v @ _plane(tree, own, v.shape[1])
+            p = v @ _plane(own, v.shape[1])
             low, high = np.quantile(p, (0.5 - spill / 2, 0.5 + spill / 2)) if len(p) else (0.0, 0.0)
             out.append((own, float(low), float(high)))
             after += [(_child(own, 0), v[p <= high]), (_child(own, 1), v[p >= low])]
@@ -46,111 +45,109 @@ def fit_node(vectors: np.ndarray, tree: int, node: int, levels: int, spill: floa
     return out
 
 
-def route(vectors: np.ndarray, tree: int, node: int, levels: int, limits: dict[int, tuple[float, float]]) -> tuple[np.ndarray, np.ndarray]:
+def route(vectors: np.ndarray, node: int, levels: int, limits: dict[int, tuple[float, float]]) -> tuple[np.ndarray, np.ndarray]:
     """(row, leaf) for every leaf that a vector reaches; one that lies between low and high reaches both children."""
     work = [(node, np.arange(len(vectors)))]
     for _ in range(levels):
         after = []
         for own, rows in work:
             low, high = limits[own]
-            p = vectors[rows] @ _plane(tree, own, vectors.shape[1])
+            p = vectors[rows] @ _plane(own, vectors.shape[1])
             after += [(_child(own, 0), rows[p <= high]), (_child(own, 1), rows[p >= low])]
         work = after
     return np.concatenate([r for _, r in work]), np.concatenate([np.full(len(r), n, np.int64) for n, r in work])
 
 
-def _matrix(column: pa.Array, dims: int) -> np.ndarray:
+def _unit(column: pa.Array, dims: int) -> np.ndarray:
+    """Unit vectors in double precision, scaled by the largest component first so that no square overflows or vanishes."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return np.asarray(column.flatten()).reshape(-1, dims) if len(column) else np.zeros((0, dims))
+    v = np.asarray(column.flatten()).reshape(-1, dims).astype(np.float64) if len(column) else np.zeros((0, dims))
+    v = v / np.abs(v).max(axis=1, keepdims=True, initial=0)
+    return v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
 
 
 def distinct_vectors(rows: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, DataFrame]:
-    """(members, distinct): vec_id with rep, and rep with its unit vector and number of members.
+    """(members, distinct): vec_id with rep, and rep with its vector, number of members and dimensions.
 
     Equal vectors are one point from the start. Null, zero and non-finite vectors have rep null.
     """
-    v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
-    base = rows.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
-    finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    # scaled by the largest component first, so that neither squares nor sums overflow or vanish
-    top = F.array_max(F.transform("v", lambda x: F.abs(x)))
-    base = base.withColumn("v", F.when(F.coalesce(finite & (top > 0), F.lit(False)), F.transform("v", lambda x: x / top)))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    unit = base.withColumn("u", F.transform("v", lambda x: x / norm)).drop("v").withColumn("__row", F.monotonically_increasing_id())
-    unit = storage.cut(unit.withColumn("h", F.xxhash64("u")).withColumn("h2", F.hash("u")), "units")
-    groups = unit.where("u IS NOT NULL").groupBy("h", "h2", F.size("u").alias("dims")).agg(F.min("__row").alias("rep"), F.count("*").alias("copies"))
+    top = F.array_max(F.transform("u", lambda x: F.abs(x)))
+    finite = F.forall("u", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    base = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("u")).withColumn("__row", F.monotonically_increasing_id())
+    base = base.withColumn("u", F.when(F.coalesce(finite & (top > 0), F.lit(False)), F.col("u")))
+    units = storage.cut(base.withColumns({"h": F.xxhash64("u"), "h2": F.xxhash64(F.lit(1), "u"), "dims": F.size("u")}), "vectors")
+    groups = units.where("u IS NOT NULL").groupBy("h", "h2", "dims").agg(F.min("__row").alias("rep"), F.count("*").alias("copies"))
     groups = storage.cut(groups, "groups")
-    g = groups.withColumnRenamed("h", "gh").withColumnRenamed("h2", "gh2")
-    members = unit.join(g, (F.col("h") == F.col("gh")) & (F.col("h2") == F.col("gh2")) & (F.size("u") == F.col("dims")), "left").select("vec_id", "__row", "rep", "copies")
-    distinct = unit.select(F.col("__row").alias("rep"), "u").join(groups.select("rep", "copies", "dims"), "rep")
-    return storage.cut(members, "members"), storage.cut(distinct, "distinct")
+    g = groups.select(F.col("h").alias("gh"), F.col("h2").alias("gh2"), F.col("dims").alias("gd"), "rep", "copies")
+    same = (F.col("h") == F.col("gh")) & (F.col("h2") == F.col("gh2")) & (F.col("dims") == F.col("gd")) & F.col("u").isNotNull()
+    members = units.select("vec_id", "h", "h2", "dims", "u").join(g, same, "left").select("vec_id", "rep", "copies")
+    distinct = units.select(F.col("__row").alias("rep"), "u").join(groups.select("rep", "copies", "dims"), "rep")
+    out = storage.cut(members, "members"), storage.cut(distinct, "distinct")
+    storage.drop_cut(units)
+    storage.drop_cut(groups)
+    return out
 
 
 def forest_leaves(distinct: DataFrame, dims: int, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE) -> DataFrame:
-    """(tree, node, rep, u, copies, dense): all vectors in all their leaves.
+    """(rep, node, dense): the leaves of every vector in all trees; only numbers are kept, vectors stay where they are.
 
     Every round splits all nodes that are too large by LEVELS levels, each fitted on a
     hash sample of about `sample` of its own rows, so that nothing that is gathered grows
     with the input; the rows of leaves are done. A node that a round cannot thin out,
-    because its vectors are too alike, is left as it is and marked dense.
+    because its vectors are too alike, is left as it is and marked dense. Thresholds are
+    broadcast while they are few and joined by node beyond that.
     """
-    planted = distinct.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("node", F.lit(1).cast("long")).withColumn("dense", F.lit(False))
-    now = storage.cut(planted.select("tree", "node", "rep", "u", "copies", "dense"), "nodes")
-    done = None
+    roots = [int(x) for x in (bw.mix(np.arange(1, trees + 1, dtype=np.uint64)) >> np.uint64(1))]
+    now = storage.cut(distinct.select("rep", F.explode(F.array(*[F.lit(r) for r in roots])).alias("node")), "nodes")
+    vectors = distinct.select("rep", "u")
+    done: list[DataFrame] = []
     for turn in range(ROUNDS):
-        sizes = now.groupBy("tree", "node").agg(F.count("*").alias("c"))
-        big = storage.cut(sizes.where(F.col("c") > leaf), "big")
+        big = storage.cut(now.groupBy("node").agg(F.count("*").alias("c")).where(F.col("c") > leaf), "big")
         n_big = big.count()
-        hint = F.broadcast if n_big * 64 <= storage.BROADCAST_BYTES else (lambda x: x)
-        fine = now.join(hint(big.select("tree", "node")), ["tree", "node"], "left_anti")
-        done = fine if done is None else done.unionByName(fine)
+        hint = F.broadcast if n_big * 256 <= storage.BROADCAST_BYTES else (lambda x: x)
+        done.append(storage.cut(now.join(hint(big.select("node")), "node", "left_anti").select("rep", "node", F.lit(False).alias("dense")), "leaves"))
         if not n_big:
-            return storage.cut(done, "leaves")
-        seed = turn * 1000003
+            storage.drop_cut(now)
+            break
 
         def fit(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-            tree, node = key[0].as_py(), key[1].as_py()
-            found = fit_node(_matrix(table.column("u"), dims), tree, node, LEVELS, spill)
-            return pa.table({"tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int64()), "own": pa.array([[x[0] for x in found]], pa.list_(pa.int64())), "low": pa.array([[x[1] for x in found]], pa.list_(pa.float64())), "high": pa.array([[x[2] for x in found]], pa.list_(pa.float64()))})
-
-        rows = now.join(hint(big), ["tree", "node"])
-        chance = F.lit(float(sample)) / F.col("c")
-        draw = F.pmod(F.xxhash64("rep", "tree", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        fitted = rows.where(draw < chance).select("tree", "node", "u").groupBy("tree", "node").applyInArrow(fit, "tree int, node long, own array<long>, low array<double>, high array<double>")
-        fitted = storage.cut(fitted, "limits")
-        names = ["tree", "node", "rep", "u", "copies", "dense", "parent"]
+            # as many levels as this node still needs
+            need = int(np.ceil(np.log(key[1].as_py() / leaf) / -np.log(0.5 + spill / 2)))
+            found = fit_node(_unit(table.column("u"), dims), key[0].as_py(), max(1, min(LEVELS, need)), spill)
+            return pa.table({"node": pa.array([key[0].as_py()], pa.int64()), "own": pa.array([[x[0] for x in found]], pa.list_(pa.int64())), "low": pa.array([[x[1] for x in found]], pa.list_(pa.float64())), "high": pa.array([[x[2] for x in found]], pa.list_(pa.float64()))})
 
         def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 table = pa.Table.from_batches([batch])
-                tree, node = (table.column(c).to_numpy() for c in ("tree", "node"))
-                u = _matrix(table.column("u"), dims)
-                key = np.stack([tree.astype(np.int64), node])
-                _, first, back = np.unique(key, axis=1, return_index=True, return_inverse=True)
-                back = back.ravel()
-                picks, leaves = [], []
+                node, rep, size = (table.column(c).to_numpy() for c in ("node", "rep", "c"))
+                u = _unit(table.column("u"), dims)
+                _, first, back = np.unique(node, return_index=True, return_inverse=True)
                 for g, at in enumerate(first):
                     own = np.flatnonzero(back == g)
                     limits = dict(zip(table.column("own")[at].as_py(), zip(table.column("low")[at].as_py(), table.column("high")[at].as_py())))
-                    r, n = route(u[own], int(tree[at]), int(node[at]), LEVELS, limits)
-                    picks.append(own[r])
-                    leaves.append(n)
-                pick, to = np.concatenate(picks), np.concatenate(leaves)
-                out = table.select(["tree", "rep", "u", "copies", "dense"]).take(pa.array(pick))
-                parent = table.column("c").take(pa.array(pick))
-                out = pa.table([out.column("tree"), pa.array(to), out.column("rep"), out.column("u"), out.column("copies"), out.column("dense"), parent], names=names)
-                yield from out.combine_chunks().to_batches()
-
-        routed = rows.join(hint(fitted), ["tree", "node"]).select("tree", "node", "rep", "u", "copies", "dense", "c", "own", "low", "high")
-        after = storage.cut(routed.mapInArrow(split, "tree int, node long, rep long, u array<double>, copies long, dense boolean, parent long"), "nodes")
-        thick = after.groupBy("tree", "node").agg(F.count("*").alias("c"), F.max("parent").alias("p")).where((F.col("c") > leaf) & (F.col("c") >= F.lit(DENSE) * F.col("p")))
-        thick = storage.cut(thick.select("tree", "node"), "thick")
-        mark = storage.small(thick, 32).withColumn("is_thick", F.lit(True))
-        after = after.drop("parent").join(mark, ["tree", "node"], "left").withColumn("dense", F.coalesce("is_thick", F.lit(False))).drop("is_thick")
-        done = done.unionByName(after.where("dense"))
-        now = storage.cut(after.where("NOT dense"), "nodes")
-    return storage.cut(done.unionByName(now.withColumn("dense", F.lit(True))), "leaves")
+                    r, n = route(u[own], int(node[at]), (len(limits) + 1).bit_length() - 1, limits)
+                    yield pa.RecordBatch.from_arrays([pa.array(rep[own[r]]), pa.array(n), pa.array(size[own[r]])], names=["rep", "node", "parent"])
+
+        work = now.join(hint(big), "node")
+        draw = F.pmod(F.xxhash64("rep", "node", F.lit(turn)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        drawn = work.where(draw < F.lit(float(sample)) / F.col("c")).select("rep", "node", "c")
+        fitted = storage.cut(drawn.join(vectors, "rep").groupBy("node", "c").applyInArrow(fit, "node long, own array<long>, low array<double>, high array<double>"), "limits")
+        routed = work.join(vectors, "rep").join(hint(fitted), "node").select("rep", "node", "c", "u", "own", "low", "high")
+        after = storage.cut(routed.mapInArrow(split, "rep long, node long, parent long"), "nodes")
+        thick = after.groupBy("node").agg(F.count("*").alias("c"), F.max("parent").alias("p")).where((F.col("c") > leaf) & (F.col("c") >= F.lit(DENSE) * F.col("p")))
+        thick = storage.small(storage.cut(thick.select("node"), "thick"), 16)
+        done.append(storage.cut(after.join(thick, "node", "left_semi").select("rep", "node", F.lit(True).alias("dense")), "leaves"))
+        left = storage.cut(after.join(thick, "node", "left_anti").select("rep", "node"), "nodes")
+        for x in (now, after, fitted):
+            storage.drop_cut(x)
+        now = left
+    else:
+        done.append(now.select("rep", "node", F.lit(True).alias("dense")))
+    out = done[0]
+    for x in done[1:]:
+        out = out.unionByName(x)
+    return out
 
 
 def _compare(u: np.ndarray, w: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -179,27 +176,28 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     result; labels and other columns are not read.
     """
     members, distinct = distinct_vectors(rows, id_col, vector_col)
-    sizes = distinct.groupBy(F.size("u").alias("d")).agg(F.sum("copies").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
+    sizes = distinct.groupBy(F.col("dims").alias("d")).agg(F.sum("copies").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     links = None
     if sizes:
         dims = sizes[0]["d"]
-        leaves = forest_leaves(distinct.where(F.size("u") == dims), dims, trees, leaf, spill)
-        # every leaf of a vector by (tree, node), in order: at most a few dozen numbers
-        where = leaves.groupBy("rep").agg(F.array_sort(F.collect_list(F.xxhash64("tree", "node"))).alias("homes"))
-        full = leaves.withColumn("home", F.xxhash64("tree", "node")).join(where, "rep")
-        n_blocks = F.greatest(F.lit(1), F.ceil(F.col("c") / (2 * leaf))).cast("int")
-        counts = leaves.where("dense").groupBy("tree", "node").agg(F.count("*").alias("c")).withColumn("blocks", n_blocks).drop("c")
-        full = full.join(storage.small(storage.cut(counts, "dense"), 32), ["tree", "node"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        points = distinct.where(F.col("dims") == dims)
+        leaves = forest_leaves(points, dims, trees, leaf, spill)
+        # every leaf of a vector, in order: a few dozen numbers
+        homes = leaves.groupBy("rep").agg(F.array_sort(F.collect_list("node")).alias("homes"))
+        dense = leaves.where("dense").groupBy("node").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / (2 * leaf))).cast("int").alias("blocks"))
+        full = points.select("rep", "u", "copies").join(homes, "rep").withColumn("node", F.explode("homes"))
+        full = full.join(storage.small(storage.cut(dense, "dense"), 16), "node", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         # a dense node's vectors go to all pairs of blocks that theirs is in
         block = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int")
         full = full.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         full = full.withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
 
         def compare(table: pa.Table) -> pa.Table:
-            u = _matrix(table.column("u"), dims)
+            u = _unit(table.column("u"), dims)
             rep, copies, block = (table.column(c).to_numpy() for c in ("rep", "copies", "block"))
-            home = table.column("home")[0].as_py()
-            homes = table.column("homes").to_pylist()
+            home = table.column("node")[0].as_py()
+            lists = table.column("homes").combine_chunks()
+            flat, cuts = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
             x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
             left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
             i, j = _compare(u[left], u[right], least - 1e-9)
@@ -208,8 +206,8 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
             i, j = i[keep], j[keep]
             exact = np.einsum("ij,ij->i", u[i], u[j]) >= least
             i, j = i[exact], j[exact]
-            sets = [set(h) for h in homes]
-            first = np.fromiter((min(sets[a] & sets[b]) == home for a, b in zip(i, j)), bool, len(i))
+            sets = {int(a): set(flat[cuts[a] : cuts[a + 1]].tolist()) for a in np.unique(np.concatenate([i, j]))}
+            first = np.fromiter((min(sets[a] & sets[b]) == home for a, b in zip(i.tolist(), j.tolist())), bool, len(i))
             i, j = i[first], j[first]
             n = np.bincount(i, weights=copies[j], minlength=len(u)) + np.bincount(j, weights=copies[i], minlength=len(u))
             root = np.arange(len(u))
@@ -232,7 +230,7 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
                 "to": pa.array([*[None] * len(has), *[b for _, b in ends]], pa.int64()),
             })
 
-        links = full.select("tree", "node", "x", "y", "rep", "u", "copies", "block", "home", "homes").groupBy("tree", "node", "x", "y").applyInArrow(compare, "rep long, n long, to long")
+        links = full.select("node", "x", "y", "rep", "u", "copies", "block", "homes").groupBy("node", "x", "y").applyInArrow(compare, "rep long, n long, to long")
         links = storage.cut(links, "links")
     spark = rows.sparkSession
     if links is None:
