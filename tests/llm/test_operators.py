@@ -303,6 +303,20 @@ def test_op6_forest(spark):
     assert forest.near_vectors(df.where("false")).count() == 0
 
 
+def links_against_brute(spark, v, **kw):
+    """Found and true sums of n_links."""
+    df = spark.createDataFrame(list(enumerate(v.tolist())), "vec_id long, embedding array<double>")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    return sum(r.n_links for r in forest.near_vectors(df, **kw).collect()), int((u @ u.T >= 0.9).sum()) - len(v)
+
+
+def test_op6_large_clump(spark):
+    rng = np.random.default_rng(8)
+    clump = rng.standard_normal(64) + 0.3 * rng.standard_normal((2500, 64))
+    got, want = links_against_brute(spark, np.vstack([rng.standard_normal((1500, 64)), clump]), trees=2, leaf=64)
+    assert want > 1e6 and 0.999 * want <= got <= want
+
+
 def brute_passages(rows, size):
     first = {}
     for i, t, _ in rows:

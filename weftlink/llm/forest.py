@@ -18,6 +18,11 @@ TREES, LEAF, SPILL = 8, 1024, 0.12
 SAMPLE, LEVELS = 4096, 4
 #: A node that cannot be split below this share of its size in a round is dense: its vectors are compared in blocks.
 DENSE = 0.9
+#: A node is tight, and dense too, where this share of the pairs of TIGHT_ROWS of its vectors are links: comparing all
+#: pairs costs 1 / TIGHT times its links at most, while splits would part links.
+TIGHT, TIGHT_ROWS = 0.25, 256
+#: Vectors of a block of a dense node, in leaves; columns of homes that are held against each other at once.
+BLOCK_LEAVES, HOME_COLUMNS = 8, 512
 ROUNDS = 24
 
 
@@ -31,12 +36,22 @@ def _child(node: int, right: int) -> int:
     return int(bw.mix(np.array([node], np.int64).view(np.uint64) * np.uint64(2) + np.uint64(right + 0x51ED270B))[0] >> np.uint64(1))
 
 
-def fit_node(vectors: np.ndarray, node: int, levels: int, spill: float) -> list[tuple[int, float, float]]:
-    """(node, low, high) of a subtree: what projects below high goes left, above low goes right."""
+def _tight(vectors: np.ndarray, least: float) -> bool:
+    """True if TIGHT of the pairs of a sample, evenly spread over the rows, have cosine `least` or more."""
+    v = vectors[:: max(1, len(vectors) // TIGHT_ROWS)][:TIGHT_ROWS]
+    n = len(v)
+    return n > 1 and np.count_nonzero(v @ v.T >= least) - n >= TIGHT * n * (n - 1)
+
+
+def fit_node(vectors: np.ndarray, node: int, levels: int, spill: float, least: float = 2.0) -> list[tuple[int, float, float]]:
+    """(node, low, high) of a subtree: what projects below high goes left, above low goes right; a tight node has nan and is not split."""
     out, work = [], [(node, vectors)]
     for _ in range(levels):
         after = []
         for own, v in work:
+            if _tight(v, least):
+                out.append((own, float("nan"), float("nan")))
+                continue
             p = v @ _plane(own, v.shape[1])
             low, high = np.quantile(p, (0.5 - spill / 2, 0.5 + spill / 2)) if len(p) else (0.0, 0.0)
             out.append((own, float(low), float(high)))
@@ -45,17 +60,18 @@ def fit_node(vectors: np.ndarray, node: int, levels: int, spill: float) -> list[
     return out
 
 
-def route(vectors: np.ndarray, node: int, levels: int, limits: dict[int, tuple[float, float]]) -> tuple[np.ndarray, np.ndarray]:
-    """(row, leaf) for every leaf that a vector reaches; one that lies between low and high reaches both children."""
-    work = [(node, np.arange(len(vectors)))]
-    for _ in range(levels):
-        after = []
-        for own, rows in work:
-            low, high = limits[own]
-            p = vectors[rows] @ _plane(own, vectors.shape[1])
-            after += [(_child(own, 0), rows[p <= high]), (_child(own, 1), rows[p >= low])]
-        work = after
-    return np.concatenate([r for _, r in work]), np.concatenate([np.full(len(r), n, np.int64) for n, r in work])
+def route(vectors: np.ndarray, node: int, limits: dict[int, tuple[float, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, leaf, tight) for every leaf that a vector reaches; one that lies between low and high reaches both children."""
+    work, found = [(node, np.arange(len(vectors)))], []
+    while work:
+        own, rows = work.pop()
+        low, high = limits.get(own, (np.nan, np.nan))
+        if np.isnan(low):
+            found.append((rows, own, own in limits))
+            continue
+        p = vectors[rows] @ _plane(own, vectors.shape[1])
+        work += [(_child(own, 0), rows[p <= high]), (_child(own, 1), rows[p >= low])]
+    return np.concatenate([r for r, _, _ in found]), np.concatenate([np.full(len(r), n, np.int64) for r, n, _ in found]), np.concatenate([np.full(len(r), t, bool) for r, _, t in found])
 
 
 def _unit(column: pa.Array, dims: int) -> np.ndarray:
@@ -89,14 +105,14 @@ def distinct_vectors(rows: DataFrame, id_col: str, vector_col: str) -> tuple[Dat
     return out
 
 
-def forest_leaves(distinct: DataFrame, dims: int, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE) -> DataFrame:
+def forest_leaves(distinct: DataFrame, dims: int, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE, least: float = 0.9) -> DataFrame:
     """(rep, node, dense): the leaves of every vector in all trees; only numbers are kept, vectors stay where they are.
 
     Every round splits all nodes that are too large by LEVELS levels, each fitted on a
     hash sample of about `sample` of its own rows, so that nothing that is gathered grows
-    with the input; the rows of leaves are done. A node that a round cannot thin out,
-    because its vectors are too alike, is left as it is and marked dense. Thresholds are
-    broadcast while they are few and joined by node beyond that.
+    with the input; the rows of leaves are done. A node whose sample is tight, and one that
+    a round cannot thin out, is left as it is and marked dense. Thresholds are broadcast
+    while they are few and joined by node beyond that.
     """
     roots = [int(x) for x in (bw.mix(np.arange(1, trees + 1, dtype=np.uint64)) >> np.uint64(1))]
     now = storage.cut(distinct.select("rep", F.explode(F.array(*[F.lit(r) for r in roots])).alias("node")), "nodes")
@@ -114,7 +130,7 @@ def forest_leaves(distinct: DataFrame, dims: int, trees: int = TREES, leaf: int
         def fit(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
             # as many levels as this node still needs
             need = int(np.ceil(np.log(key[1].as_py() / leaf) / -np.log(0.5 + spill / 2)))
-            found = fit_node(_unit(table.column("u"), dims), key[0].as_py(), max(1, min(LEVELS, need)), spill)
+            found = fit_node(_unit(table.column("u"), dims), key[0].as_py(), max(1, min(LEVELS, need)), spill, least)
             return pa.table({"node": pa.array([key[0].as_py()], pa.int64()), "own": pa.array([[x[0] for x in found]], pa.list_(pa.int64())), "low": pa.array([[x[1] for x in found]], pa.list_(pa.float64())), "high": pa.array([[x[2] for x in found]], pa.list_(pa.float64()))})
 
         def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,16 +142,17 @@ def forest_leaves(distinct: DataFrame, dims: int, trees: int = TREES, leaf: int
                 for g, at in enumerate(first):
                     own = np.flatnonzero(back == g)
                     limits = dict(zip(table.column("own")[at].as_py(), zip(table.column("low")[at].as_py(), table.column("high")[at].as_py())))
-                    r, n = route(u[own], int(node[at]), (len(limits) + 1).bit_length() - 1, limits)
-                    yield pa.RecordBatch.from_arrays([pa.array(rep[own[r]]), pa.array(n), pa.array(size[own[r]])], names=["rep", "node", "parent"])
+                    r, n, tight = route(u[own], int(node[at]), limits)
+                    yield pa.RecordBatch.from_arrays([pa.array(rep[own[r]]), pa.array(n), pa.array(size[own[r]]), pa.array(tight)], names=["rep", "node", "parent", "tight"])
 
         work = now.join(hint(big), "node")
         draw = F.pmod(F.xxhash64("rep", "node", F.lit(turn)), F.lit(1 << 30)) / F.lit(float(1 << 30))
         drawn = work.where(draw < F.lit(float(sample)) / F.col("c")).select("rep", "node", "c")
         fitted = storage.cut(drawn.join(vectors, "rep").groupBy("node", "c").applyInArrow(fit, "node long, own array<long>, low array<double>, high array<double>"), "limits")
         routed = work.join(vectors, "rep").join(hint(fitted), "node").select("rep", "node", "c", "u", "own", "low", "high")
-        after = storage.cut(routed.mapInArrow(split, "rep long, node long, parent long"), "nodes")
-        thick = after.groupBy("node").agg(F.count("*").alias("c"), F.max("parent").alias("p")).where((F.col("c") > leaf) & (F.col("c") >= F.lit(DENSE) * F.col("p")))
+        after = storage.cut(routed.mapInArrow(split, "rep long, node long, parent long, tight boolean"), "nodes")
+        sizes = after.groupBy("node").agg(F.count("*").alias("c"), F.max("parent").alias("p"), F.max("tight").alias("tight"))
+        thick = sizes.where(F.col("tight") | ((F.col("c") > leaf) & (F.col("c") >= F.lit(DENSE) * F.col("p"))))
         thick = storage.small(storage.cut(thick.select("node"), "thick"), 16)
         done.append(storage.cut(after.join(thick, "node", "left_semi").select("rep", "node", F.lit(True).alias("dense")), "leaves"))
         left = storage.cut(after.join(thick, "node", "left_anti").select("rep", "node"), "nodes")
@@ -150,24 +167,82 @@ def forest_leaves(distinct: DataFrame, dims: int, trees: int = TREES, leaf: int
     return out
 
 
-def _compare(u: np.ndarray, w: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of rows of u and w whose cosine is `least` or more, in blocks of bounded size."""
-    a, b = [], []
-    step = max(1, (1 << 21) // max(len(w), 1))
-    for at in range(0, len(u), step):
-        i, j = np.nonzero(u[at : at + step] @ w.T >= least)
-        a.append(i + at)
-        b.append(j)
-    return np.concatenate([*a, np.zeros(0, np.int64)]).astype(np.int64), np.concatenate([*b, np.zeros(0, np.int64)]).astype(np.int64)
+def _met_before(homes: np.ndarray, owner: np.ndarray, i: np.ndarray, j: np.ndarray, home: int) -> np.ndarray:
+    """For rows i against rows j, true where both are in a leaf that comes before `home` in order; homes lists the leaves of all rows, owner their rows."""
+
+    def places(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.full(owner[-1] + 1, -1)
+        place[own] = np.arange(len(own))
+        keep = (place[owner] >= 0) & (homes < home)
+        return place[owner][keep], homes[keep]
+
+    ri, hi = places(i)
+    rj, hj = places(j)
+    names = np.intersect1d(hi, hj)
+    met = np.zeros((len(i), len(j)), bool)
+    for at in range(0, len(names), HOME_COLUMNS):
+        some = names[at : at + HOME_COLUMNS]
+        sides = []
+        for n, r, h in ((len(i), ri, hi), (len(j), rj, hj)):
+            k = np.searchsorted(some, h)
+            ok = (k < len(some)) & (some[np.minimum(k, len(some) - 1)] == h)
+            m = np.zeros((n, len(some)), np.float32)
+            m[r[ok], k[ok]] = 1
+            sides.append(m)
+        met |= sides[0] @ sides[1].T > 0
+    return met
+
+
+def _merge(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels with those of i and j made one, the least of each class."""
+    while True:
+        apart = root[i] != root[j]
+        if not apart.any():
+            return root
+        i, j = i[apart], j[apart]
+        a, b = root[i], root[j]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(root, root[root]):
+            root = root[root]
+
+
+def links_of(u: np.ndarray, copies: np.ndarray, flat: np.ndarray, cuts: np.ndarray, left: np.ndarray, right: np.ndarray, home: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(links, root) by row: copies linked to it in this leaf first, and its class, for rows left against rows right (all pairs once if equal)."""
+    n, root = np.zeros(len(u)), np.arange(len(u))
+    same = len(left) == len(right) and np.array_equal(left, right)
+    owner = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    step = max(1, (1 << 21) // max(len(right), 1))
+    for at in range(0, len(left), step):
+        own = left[at : at + step]
+        other = right[at:] if same else right
+        s = u[own] @ u[other].T
+        near = s >= least - 1e-9
+        if same:
+            near &= np.arange(len(other))[None, :] > np.arange(len(own))[:, None]
+        # at the border the pair is summed in one order, whatever block it is in
+        x, y = np.nonzero(near & (s <= least + 1e-9))
+        near[x, y] = np.einsum("ij,ij->i", u[own[x]], u[other[y]]) >= least
+        i, j = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+        if not len(i):
+            continue
+        own, other = own[i], other[j]
+        near = near[np.ix_(i, j)]
+        near &= ~_met_before(flat, owner, own, other, home)
+        n[own] += near @ copies[other].astype(np.float64)
+        n[other] += copies[own].astype(np.float64) @ near
+        x, y = np.nonzero(near)
+        root = _merge(root, own[x], other[y])
+    return n, root
 
 
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL) -> DataFrame:
     """Links between vectors of cosine `least` or more that share a leaf: vec_id, n_links, component_id, kept.
 
-    In a leaf all pairs are compared in double precision. A pair that several leaves hold
-    is counted in the first of them only, which both vectors' leaf lists tell, so counts
-    are sums and no pair is ever sent; for components each leaf sends a spanning forest of
-    its links. Copies of one vector are one point with a count.
+    In a leaf all pairs are compared in double precision; so are those of a dense node, which
+    is not split, block by block. A pair that several leaves hold is counted in the first
+    of them only, which both vectors' leaf lists tell, so counts are sums and no pair is
+    ever sent; for components each leaf sends the least member of each vector's class.
+    Copies of one vector are one point with a count.
 
     Defined cases: null, empty and zero vectors and those with null or non-finite
     components link with nothing; vectors of other lengths than the most common one link
@@ -181,10 +256,10 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     if sizes:
         dims = sizes[0]["d"]
         points = distinct.where(F.col("dims") == dims)
-        leaves = forest_leaves(points, dims, trees, leaf, spill)
+        leaves = forest_leaves(points, dims, trees, leaf, spill, least=least)
         # every leaf of a vector, in order: a few dozen numbers
         homes = leaves.groupBy("rep").agg(F.array_sort(F.collect_list("node")).alias("homes"))
-        dense = leaves.where("dense").groupBy("node").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / (2 * leaf))).cast("int").alias("blocks"))
+        dense = leaves.where("dense").groupBy("node").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / (BLOCK_LEAVES * leaf))).cast("int").alias("blocks"))
         full = points.select("rep", "u", "copies").join(homes, "rep").withColumn("node", F.explode("homes"))
         full = full.join(storage.small(storage.cut(dense, "dense"), 16), "node", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         # a dense node's vectors go to all pairs of blocks that theirs is in
@@ -199,35 +274,11 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
             lists = table.column("homes").combine_chunks()
             flat, cuts = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
             x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
-            left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
-            i, j = _compare(u[left], u[right], least - 1e-9)
-            i, j = left[i], right[j]
-            keep = (rep[i] < rep[j]) if x == y else (rep[i] != rep[j])
-            i, j = i[keep], j[keep]
-            exact = np.einsum("ij,ij->i", u[i], u[j]) >= least
-            i, j = i[exact], j[exact]
-            sets = {int(a): set(flat[cuts[a] : cuts[a + 1]].tolist()) for a in np.unique(np.concatenate([i, j]))}
-            first = np.fromiter((min(sets[a] & sets[b]) == home for a, b in zip(i.tolist(), j.tolist())), bool, len(i))
-            i, j = i[first], j[first]
-            n = np.bincount(i, weights=copies[j], minlength=len(u)) + np.bincount(j, weights=copies[i], minlength=len(u))
-            root = np.arange(len(u))
-
-            def find(a: int) -> int:
-                while root[a] != a:
-                    root[a] = root[root[a]]
-                    a = root[a]
-                return a
-
-            ends = []
-            for a, b in zip(i, j):
-                ra, rb = find(a), find(b)
-                if ra != rb:
-                    root[max(ra, rb)] = min(ra, rb)
-                    ends.append((int(rep[a]), int(rep[b])))
-            has = np.flatnonzero(n)
+            n, root = links_of(u, copies, flat, cuts, np.flatnonzero(block == x), np.flatnonzero(block == y), home, least)
+            has, far = np.flatnonzero(n), np.flatnonzero(root != np.arange(len(u)))
             return pa.table({
-                "rep": pa.array([*rep[has].tolist(), *[a for a, _ in ends]], pa.int64()), "n": pa.array([*n[has].astype(np.int64).tolist(), *[0] * len(ends)], pa.int64()),
-                "to": pa.array([*[None] * len(has), *[b for _, b in ends]], pa.int64()),
+                "rep": pa.array(np.concatenate([rep[has], rep[far]]), pa.int64()), "n": pa.array(np.concatenate([n[has].astype(np.int64), np.zeros(len(far), np.int64)]), pa.int64()),
+                "to": pa.array([*[None] * len(has), *rep[root[far]].tolist()], pa.int64()),
             })
 
         links = full.select("node", "x", "y", "rep", "u", "copies", "block", "homes").groupBy("node", "x", "y").applyInArrow(compare, "rep long, n long, to long")
