@@ -257,6 +257,19 @@ def test_op5_near_lines(spark):
     assert got == want and want
 
 
+def test_op5_long_lines(spark):
+    pairs = [("x" * 40 + "e" * 255, "x" * 40 + "e" * 256), ("a" * 300 + "İ" * 40, "a" * 300 + "İ" * 39 + "i")]
+    r = random.Random(6)
+    for _ in range(200):
+        a = [r.choice("etaoin shrdlu") for _ in range(r.randint(2500, 4000))]
+        b = list(a)
+        for _ in range(2):
+            b[r.randrange(len(b))] = r.choice("etaoin shrdlu")
+        pairs.append(("".join(a), "".join(b)))
+    df = spark.createDataFrame([(2 * i + k, x) for i, p in enumerate(pairs) if p[0] != p[1] for k, x in enumerate(p)], "doc_id long, text string")
+    assert linededup.near_lines(df).count() == df.count() // 2
+
+
 def test_op5_cases(docs, none):
     by = collections.defaultdict(list)
     for r in linededup.line_report(docs).collect():

@@ -54,17 +54,21 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def _signature(line: Column) -> Column:
-    """Counts of eight groups of letters, modulo 256, in the bytes of a long."""
-    length = F.length(line)
-    lanes = [(length - F.length(F.translate(F.lower(line), letters, ""))) % 256 for letters in _LANES]
+    """Counts of eight groups of letters, modulo 256, in the bytes of a long; all are taken on the lower-case line, which may be longer."""
+    low = F.lower(line)
+    lanes = [(F.length(low) - F.length(F.translate(low, letters, ""))) % 256 for letters in _LANES]
     return reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(x.cast("long"), 8 * i) for i, x in enumerate(lanes)])
 
 
 def _may_be_near(a: Column, b: Column, edits: int) -> Column:
-    """False only if signatures differ so that more than `edits` edits lie between: each adds and takes one letter at most."""
+    """False only if signatures differ so that more than `edits` edits lie between: each adds and takes one letter at most.
+
+    Lanes go round at 256, so a difference is the one of -128..127 that fits; a greater one is none that `edits` edits make.
+    """
     more, less = [], []
     for i in range(len(_LANES)):
         d = F.shiftrightunsigned(a, 8 * i).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(b, 8 * i).bitwiseAND(F.lit(255))
+        d = (d + 128).bitwiseAND(F.lit(255)) - 128
         more.append(F.greatest(d, F.lit(0)))
         less.append(F.greatest(-d, F.lit(0)))
     return (reduce(lambda x, y: x + y, more) <= edits) & (reduce(lambda x, y: x + y, less) <= edits)
