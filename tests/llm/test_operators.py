@@ -270,6 +270,12 @@ def test_op5_long_lines(spark):
     assert linededup.near_lines(df).count() == df.count() // 2
 
 
+def test_op5_short_lines(spark):
+    rows = [(1, "Menu\n\nRead more here\nabc"), (2, "Menu\n\nRead mere here!\nabd"), (3, "  \nabc\nMenus\n" + " " * 8), (4, "\n  ")]
+    got = {r.doc_id: r.removed for r in linededup.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "", 2: "0,2", 3: "1", 4: ""}
+
+
 def test_op5_cases(docs, none):
     by = collections.defaultdict(list)
     for r in linededup.line_report(docs).collect():

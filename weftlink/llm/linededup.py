@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from . import components, storage
 
-#: Shorter lines (in code points) stay whatever they say.
-MIN_CHARS = 32
+#: Shorter lines (in code points) link with equal ones only: below it the edit join has not three characters a segment.
+MIN_CHARS = 9
 #: Edits between linked lines.
 MAX_EDITS = 2
 #: A document that keeps less than this percentage of the code points of its lines is a duplicate and goes.
@@ -47,10 +47,10 @@ def _keys(line: Column, length: Column, edits: int) -> Column:
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, th, pos, line, length, id): lines long enough; th tells texts of one id apart."""
+    """(doc_id, th, pos, line, length, id): lines of min_chars and shorter ones that are not blank; th tells texts of one id apart."""
     split = F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")
     every = docs.select("doc_id", F.xxhash64("text").alias("th"), split).withColumn("length", F.length("line").cast("long"))
-    return every.where(F.col("length") >= min_chars).withColumn("id", F.xxhash64("line"))
+    return every.where((F.col("length") >= min_chars) | F.col("line").rlike(r"\S")).withColumn("id", F.xxhash64("line"))
 
 
 def _signature(line: Column) -> Column:
@@ -75,14 +75,14 @@ def _may_be_near(a: Column, b: Column, edits: int) -> Column:
 
 
 def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = MAX_EDITS) -> DataFrame:
-    """(a, b): ids (hashes) of different lines with at most `edits` edits between them.
+    """(a, b): ids (hashes) of different lines of min_chars or more with at most `edits` edits between them.
 
     Keys of all lines are dealt once; a key that only one line has ends there. The lines of
     the others get their text and a signature of letter counts, which rules most pairs out
     inside the join, before a row is made; what is left is verified by the banded edit
     distance of the engine. Equal lines are one line throughout.
     """
-    lines = _lines(docs, min_chars)
+    lines = _lines(docs, min_chars).where(F.col("length") >= min_chars)
     if min_chars < 3 * (edits + 1):
         raise ValueError("lines need three characters a segment")
     keys = lines.select("id", F.posexplode(_keys(F.col("line"), F.col("length"), edits)).alias("place", "key")).select("key", "id", (F.col("place") <= edits).alias("own"))
@@ -126,8 +126,8 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """For every document doc_id, n_lines, n_removed and removed (numbers of the lines that go, from 0).
 
     Defined cases: null text has no lines, an empty one has one; lines under min_chars
-    code points are never removed and never a reason to remove; equal lines of one document
-    count, the first stays; rows that share id and text are judged alike; rows that share
+    code points go only where an equal line stays, and of these blank ones never; equal
+    lines of one document count, the first stays; rows that share id and text are judged alike; rows that share
     an id only are told apart by their texts; a null id comes after all others; an empty
     table gives an empty result; other columns are not read.
     """
