@@ -20,7 +20,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop lines that an earlier line has within two edits, and documents that lose nearly all."""
+    """Drop lines that an earlier line has within two edits, and documents that have no others but blank ones."""
     return linededup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 

@@ -276,6 +276,12 @@ def test_op5_short_lines(spark):
     assert got == {1: "", 2: "0,2", 3: "1", 4: ""}
 
 
+def test_op5_keeps_what_is_left(spark):
+    rows = [(1, words(300, 20)), (2, words(300, 20) + "\nfound nowhere else"), (3, words(300, 20) + "\n \n")]
+    kept = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in kept} == {1: rows[0][1], 2: "found nowhere else"}
+
+
 def test_op5_cases(docs, none):
     by = collections.defaultdict(list)
     for r in linededup.line_report(docs).collect():

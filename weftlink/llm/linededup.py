@@ -13,8 +13,6 @@ from . import components, storage
 MIN_CHARS = 9
 #: Edits between linked lines.
 MAX_EDITS = 2
-#: A document that keeps less than this percentage of the code points of its lines is a duplicate and goes.
-MIN_LEFT_PERCENT = 20
 #: Letters counted together, a byte lane of the signature each.
 _LANES = ("eéèê", "aáäà", "oóöí", "tñl", "nm", "sßc", "ruüd", "ihp")
 
@@ -140,11 +138,11 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return joined.select("doc_id", "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(F.array_join("gone", ","), F.lit("")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, edits: int = MAX_EDITS, min_left_percent: int = MIN_LEFT_PERCENT) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, edits: int = MAX_EDITS) -> DataFrame:
     """docs without the lines of line_report, with the columns of docs.
 
-    A document of whose code points in lines less than min_left_percent is left goes
-    altogether; one that loses nothing is returned as it is. Cases as in line_report.
+    A document that loses lines and has nothing but blank ones left goes altogether; one
+    that loses nothing is returned as it is. Cases as in line_report.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     v = line_verdicts(own, min_chars, edits).select(F.col("doc_id").alias("__vd"), F.col("th").alias("__vt"), F.col("gone").alias("__gone"))
@@ -153,5 +151,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n")
     kept = F.when(F.col("__gone").isNull(), docs[text_col]).otherwise(left)
     out = joined.withColumn("__kept", kept)
-    few = F.col("__gone").isNotNull() & (F.length("__kept") * 100 < F.length(text_col) * min_left_percent)
-    return out.where(~few).select(*[F.col("__kept").alias(c) if c == text_col else joined[c] for c in docs.columns])
+    bare = F.col("__gone").isNotNull() & ~F.col("__kept").rlike(r"\S")
+    return out.where(~bare).select(*[F.col("__kept").alias(c) if c == text_col else joined[c] for c in docs.columns])
