@@ -380,6 +380,11 @@ def test_op9_marginals_are_those_of_all_labelings():
         assert np.allclose(got[a:b], good / total)
 
 
+def test_op9_long_words_weigh_their_bytes():
+    data, borders = bytewords.buffers(pa.array(["語" * 100 + "\n" + "語" * 10_000 + "\nab cd"]))
+    assert linecrf.line_features(data, borders)[1].tolist() == [300, 30_000, 4]
+
+
 def test_op9_learns_and_handles_cases(spark, docs, none):
     r = random.Random(4)
     rows, marks = [], []

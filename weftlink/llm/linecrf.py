@@ -80,15 +80,15 @@ def line_features(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np
     size = np.maximum(ends - starts, 1).astype(float)
     some = np.maximum(words, 1.0)
     upper, lower = count(_UPPER[data]), count(_LOWER[data])
-    in_words = over_words(np.minimum(we - ws, 255))
+    clipped = over_words(np.minimum(we - ws, 255))
     return (
         np.column_stack([
             upper / np.maximum(upper + lower, 1), np.minimum(count(_MARK[data]) / some, 3) / 3, np.minimum(count(_BANG[data]) / some, 2) / 2,
             np.minimum(count(_PIPE[data]) / some, 1), count(_DIGIT[data]) / size, over_words(again) / some, over_words(twin) / some,
-            earlier & (words > 0), np.log1p(words) / 8, np.minimum(in_words / some, 20) / 20, np.minimum(count(_STOP[data]) / some, 1),
+            earlier & (words > 0), np.log1p(words) / 8, np.minimum(clipped / some, 20) / 20, np.minimum(count(_STOP[data]) / some, 1),
             count(data >= 128) / size, words == 0, words < 4,
         ]).astype(np.float32),
-        in_words,
+        over_words(we - ws),
         first,
     )
 
