@@ -1,4 +1,4 @@
-"""Words, lines and rolling hashes of Arrow string columns, computed on their bytes by numpy.
+"""Words, lines and hashes of Arrow string columns, computed on their bytes by numpy.
 
 All functions take whole texts. Work is cut at document borders into slices of about
 SLICE_BYTES so that temporary arrays stay small; one very long text is a slice of its own.
@@ -12,29 +12,17 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SLICE_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _U = np.uint64
-_BYTE_BASES = (_U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93))
-_WORD_BASES = (_U(0xC2B2AE3D27D4EB4F), _U(0xA0761D6478BD642F))
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _inverse(b: int) -> int:
-    return pow(b, -1, 1 << 64)
-
-
-def powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i below n at least."""
-    have = _powers.get(int(base))
-    if have is None or len(have[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        up, down = np.full(size, base), np.full(size, _U(_inverse(int(base))))
-        up[0] = down[0] = 1
-        have = _powers[int(base)] = (np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U))
-    return have
+#: Odd multipliers and seeds of the two hash functions (any would do).
+_SEEDS = (_U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93))
+_ODD, _PAIR = _U(0xC2B2AE3D27D4EB4F), _U(0xA0761D6478BD642F)
+#: Spans up to so many bytes are hashed side by side, longer ones one by one.
+_SIDE_BY_SIDE = 128
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -87,25 +75,79 @@ def word_spans(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, borders)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """A 64-bit hash of data[start:end] for each span, by prefix sums of a polynomial modulo 2**64."""
-    up, down = powers(_BYTE_BASES[which], len(data) + 1)
-    sums = np.zeros(len(data) + 1, _U)
-    np.cumsum((data.astype(_U) + _U(1)) * up[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts])
+def _blocks(data: np.ndarray) -> np.ndarray:
+    """The eight bytes that begin at each byte, as a number; past the end there are zeros."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
 
+def _masked(blocks: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """blocks[at], of which only the first `left` bytes count."""
+    found = blocks[at]
+    short = np.flatnonzero(left < 8)
+    found[short] &= (_U(1) << (left[short].astype(_U) << _U(3))) - _U(1)
+    return found
 
-def window_hashes(words: np.ndarray, first: np.ndarray, size: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of `size` words inside one document, and the word at which each starts."""
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """A 64-bit hash of data[start:end] for each span; `which` chooses one of two independent functions.
+
+    Short spans are taken eight bytes at a time, each block being mixed into the state by a
+    bijection that is not linear, so no pattern of bytes cancels out; longer ones by XXH3.
+    """
+    size = ends - starts
+    state = size.astype(_U) * _ODD ^ _SEEDS[which]
+    if not len(size):
+        return state
+    blocks, live = _blocks(data), np.flatnonzero((size > 0) & (size <= _SIDE_BY_SIDE))
+    done = 0
+    while len(live):
+        state[live] = mix(state[live] ^ _masked(blocks, starts[live] + done, size[live] - done))
+        done += 8
+        live = live[size[live] > done]
+    raw = memoryview(np.ascontiguousarray(data))
+    for i in np.flatnonzero(size > _SIDE_BY_SIDE):
+        state[i] = xxhash.xxh3_64_intdigest(raw[starts[i] : ends[i]], seed=int(_SEEDS[which]))
+    return state
+
+
+def spans_equal(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """True where a[start : start + size] and b[start : start + size] are the same bytes."""
+    same = np.ones(len(size), bool)
+    left, right = _blocks(a), _blocks(b) if b is not a else None
+    right = left if right is None else right
+    live, done = np.flatnonzero((size > 0) & (size <= _SIDE_BY_SIDE)), 0
+    while len(live):
+        same[live] = _masked(left, a_starts[live] + done, size[live] - done) == _masked(right, b_starts[live] + done, size[live] - done)
+        done += 8
+        live = live[same[live] & (size[live] > done)]
+    for i in np.flatnonzero(size > _SIDE_BY_SIDE):
+        same[i] = np.array_equal(a[a_starts[i] : a_starts[i] + size[i]], b[b_starts[i] : b_starts[i] + size[i]])
+    return same
+
+
+def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A hash of two hashes in this order."""
+    return mix((left ^ (left >> _U(32))) * _PAIR + right)
+
+
+def window_hashes(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of `size` words inside one document, and the word at which each starts.
+
+    Runs are doubled until the next would be too long; two that overlap make the rest.
+    """
     n = len(words)
     if n < size:
         return np.zeros(0, _U), np.zeros(0, np.int64)
     ends = np.repeat(first[1:], np.diff(first))
     at = np.flatnonzero(np.arange(n) + size <= ends)
-    up, down = powers(_WORD_BASES[which], n + 1)
-    sums = np.zeros(n + 1, _U)
-    np.cumsum(words * up[:n], out=sums[1:])
-    return mix((sums[at + size] - sums[at]) * down[at]), at
+    runs, length = words, 1
+    while 2 * length <= size:
+        runs, length = _pair(runs[:-length], runs[length:]), 2 * length
+    if length < size:
+        runs = _pair(runs[: n - size + 1], runs[size - length :])
+    return runs[at], at
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
@@ -117,9 +159,6 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
 def tidy() -> None:
     """Give memory that freed arrays leave behind back to the system: workers outlive their tasks."""
     pa.default_memory_pool().release_unused()
-    for base, (up, down) in list(_powers.items()):
-        if len(up) > SLICE_BYTES + 1:
-            _powers[base] = (up[: SLICE_BYTES + 1].copy(), down[: SLICE_BYTES + 1].copy())
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):

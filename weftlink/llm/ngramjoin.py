@@ -19,14 +19,14 @@ SHINGLE, PERCENT = 5, 80
 FRAGMENTS = 4
 
 
-def shingle_sets(data: np.ndarray, borders: np.ndarray, size: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(data: np.ndarray, borders: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, documents) of the distinct shingles of each document, sorted by document and hash.
 
     A document of fewer words than a shingle has one: all its words. One without words has none.
     """
     starts, ends, first = bw.word_spans(data, borders)
-    words = bw.span_hashes(data, starts, ends, which)
-    hashes, at = bw.window_hashes(words, first, size, which)
+    words = bw.span_hashes(data, starts, ends)
+    hashes, at = bw.window_hashes(words, first, size)
     doc = np.searchsorted(first, at, "right") - 1
     n_words = np.diff(first)
     for m in range(1, size):

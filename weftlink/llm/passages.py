@@ -42,7 +42,7 @@ def _windows(size: int, both: bool):
                 hashes, at, doc = hashes[ok], at[ok], doc[ok]
             item: object = hi - lo
             if both:
-                second, _ = bw.window_hashes(bw.span_hashes(part, starts, ends, 1), first, size, 1)
+                second, _ = bw.window_hashes(bw.span_hashes(part, starts, ends, 1), first, size)
                 item = (hi - lo, ids[lo:hi], doc, at - first[doc], second if ok.all() else second[ok])
             yield hashes, item
 

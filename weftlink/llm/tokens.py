@@ -3,7 +3,8 @@
 A byte-level BPE splits a text into pieces before it merges, and no piece reaches over the
 start of a white space run. So a text's ids are those of its parts (a white space run and
 the word after it), one after another. Parts are found and hashed by numpy; each distinct
-part is encoded once by the tokenizer and kept in the worker's cache.
+part is encoded once by the tokenizer and kept in the worker's cache with its bytes, which
+are compared on every hit.
 """
 
 from __future__ import annotations
@@ -53,6 +54,7 @@ class Encoder:
     def _clear(self) -> None:
         self.known, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.begin, self.flat, self.n = np.zeros(1, np.int64), np.zeros(0, np.int32), 0
+        self.bytes, self.bytes_at = np.zeros(0, np.uint8), np.zeros(1, np.int64)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
@@ -110,6 +112,9 @@ class Encoder:
         alone = [self._ids(data[a:b].tobytes().decode("utf-8", "replace")) for a, b in zip(starts[n_joined:], ends[n_joined:])]
         n = np.concatenate([*counts, np.array([len(x) for x in alone], np.int64)])
         slots = np.arange(self.n, self.n + len(n))
+        begin = np.cumsum(lengths) - lengths
+        self.bytes = np.append(self.bytes, data[np.repeat(starts - begin, lengths) + np.arange(lengths.sum())])
+        self.bytes_at = np.append(self.bytes_at, self.bytes_at[-1] + np.cumsum(lengths))
         self.begin = np.append(self.begin, self.begin[-1] + np.cumsum(n))
         self.flat = np.concatenate([self.flat, *flat, *alone])
         self.n += len(n)
@@ -118,18 +123,24 @@ class Encoder:
         self.known = np.insert(self.known, place, hashes[order])
         self.slot = np.insert(self.slot, place, slots[order])
 
-    def encode(self, data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and the borders of each text's ids."""
+    def _is_known(self, slots: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """True where the part in the cache has the bytes of the one at hand, not its hash alone."""
+        same = self.bytes_at[slots + 1] - self.bytes_at[slots] == sizes
+        return same & bw.spans_equal(self.bytes, self.bytes_at[slots], data, starts, np.where(same, sizes, 0))
+
+    def encode(self, data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, the borders of each text's ids, and the texts to encode whole, one of whose parts shares its hash with another."""
         n, n_docs = len(data), len(borders) - 1
         if not n:
-            return np.zeros(0, np.int32), np.zeros(n_docs + 1, np.int64)
+            return np.zeros(0, np.int32), np.zeros(n_docs + 1, np.int64), np.zeros(0, np.int64)
         space = bw._SPACE[data]
         begins = space.copy()
         begins[1:] &= ~space[:-1]
         begins[borders[:-1][borders[:-1] < n]] = True
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], n)
-        hashes = bw.span_hashes(data, starts, ends) ^ bw.mix((ends - starts).astype(np.uint64))
+        sizes = ends - starts
+        hashes = bw.span_hashes(data, starts, ends)
         distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
         if self.n > CACHE_PARTS:
             self._clear()
@@ -140,11 +151,16 @@ class Encoder:
         if new.any():
             self._learn(distinct[new], data, starts[first[new]], ends[first[new]])
             at = np.searchsorted(self.known, distinct)
-        slot = self.slot[at][back]
+        slots = self.slot[at]
+        like = first[back]
+        same = self._is_known(slots, data, starts[first], sizes[first])[back] & (sizes == sizes[like])
+        same &= bw.spans_equal(data, starts, data, starts[like], np.where(same, sizes, 0))
+        slot = slots[back]
         count = self.begin[slot + 1] - self.begin[slot]
         total = np.concatenate([[0], np.cumsum(count)])
         ids = self.flat[np.repeat(self.begin[slot] - total[:-1], count) + np.arange(total[-1])]
-        return ids, total[np.searchsorted(starts, borders)]
+        odd = np.unique(np.searchsorted(borders, starts[~same], "right") - 1)
+        return ids, total[np.searchsorted(starts, borders)], odd
 
 
 _encoders: dict[str, Encoder] = {}
@@ -164,8 +180,8 @@ def encoded(column: pa.Array, path: str, end_id: int | None = 0) -> Iterator[tup
     rare = pc.fill_null(pc.match_substring_regex(column, _RARE_SPACE), False).to_numpy(zero_copy_only=False)
     for lo, hi in bw.slices(borders, SLICE_BYTES):
         part, cuts = data[borders[lo] : borders[hi]], borders[lo : hi + 1] - borders[lo]
-        ids, at = own.encode(part, cuts)
-        odd = np.flatnonzero(rare[lo:hi])
+        ids, at, twins = own.encode(part, cuts)
+        odd = np.union1d(np.flatnonzero(rare[lo:hi]), twins)
         if len(odd) or end_id is not None:
             tail = np.array([] if end_id is None else [end_id], np.int32)
             if len(odd):
