@@ -66,6 +66,48 @@ def test_words_and_hashes():
     assert len(set(zip(found, hashes.tolist()))) == len(set(found)) == len(set(hashes.tolist()))
 
 
+def thue_morse(levels):
+    """Two different words that polynomial hashes modulo a power of two confuse."""
+    a = "a"
+    for _ in range(levels):
+        a += a.translate(str.maketrans("ab", "ba"))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_hashes_tell_thue_morse_words_apart():
+    for levels in (2, 5, 7, 10, 13):
+        x, y = thue_morse(levels)
+        data, borders = bytewords.buffers(pa.array([x, y, x]))
+        for which in (0, 1):
+            h = bytewords.span_hashes(data, borders[:-1], borders[1:], which)
+            assert h[0] != h[1] and h[0] == h[2]
+        same = bytewords.spans_equal(data, borders[[0, 0]], data, borders[[1, 2]], np.diff(borders)[:2])
+        assert same.tolist() == [False, True]
+        w = bytewords.span_hashes(bytewords.buffers(pa.array(["a", "b"]))[0], np.array([0, 1]), np.array([1, 2]))
+        runs, at = bytewords.window_hashes(np.array([w[int(c == "b")] for c in x + y], np.uint64), np.array([0, len(x), 2 * len(x)]), min(len(x), 50))
+        assert runs[0] != runs[at.tolist().index(len(x))]
+
+
+def test_operators_tell_thue_morse_words_apart(spark, tmp_path):
+    x, y = thue_morse(10)
+    texts = [f"{x} one two three", f"{y} one two three", "\n".join([x, y, x])]
+    rows = [(i, t, "s") for i, t in enumerate(texts)] + [(3, " ".join(x), "s"), (4, " ".join(y), "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(queries.tokenizer_path())
+    crc = {i: zlib.crc32(np.array(t.encode(x, add_special_tokens=False).ids + [0], "<u4").tobytes()) for i, x, _ in rows}
+    assert {r.doc_id: r.ids_crc32 for r in packing.pack_documents(df, queries.tokenizer_path(), 8192).collect()} == crc
+    path = storage.fresh_path(spark, "shards")
+    shards = packing.write_shards(df, path, queries.tokenizer_path(), 8192)
+    assert {r.doc_id: r.ids_crc32 for r in packing.read_shards(spark, path, shards).collect()} == crc
+    assert {r.doc_id: r.n_dup_lines for r in repetition.quality_rules(df).collect()} == {0: 0, 1: 0, 2: 1, 3: 0, 4: 0}
+    got = collections.Counter((r.doc_id, r.n_words, r.n_removed, r.text) for r in passages.drop_passages(df, size=2).collect())
+    assert got == brute_passages(rows, 2)
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngramjoin.jaccard_groups(df, size=3, percent=40).collect())
+    assert got == brute_groups(rows, 3, 40)
+
+
 def test_op1_warc(spark, tmp_path):
     big, gz = "é" * 700, "\x1f?\x08" * 600
     rows = [(i, f"http://h/{i}", h) for i, h in enumerate([big, big, None, "", "s", "s", gz, big + "x"])] + [(1, "u", big), (None, None, big), (None, "n", gz)]
@@ -432,6 +474,58 @@ def test_op10_groups(spark, docs, none):
     assert ngramjoin.jaccard_groups(none).count() == 0
 
 
+def test_op8_and_op10_on_tables_that_are_no_files(spark, tmp_path):
+    """Local rows, a join, and scans whose partitions change between the call and the action give the same results."""
+    rows = [(i, t, s) for i, t, s in ROWS if i not in (9, None)] + [(300 + k, edit_words(BASE, k % 3, 500 + k), "z") for k in range(20)]
+    local = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("file", F.lit(1)).withColumn("block", F.lit("x")).withColumn("salt", F.lit("y"))
+    halves = local.drop("text").join(spark.createDataFrame([(i, t, s) for i, t, s in set(rows)], "doc_id long, text string, source string"), ["doc_id", "source"])
+    many = str(tmp_path / "docs")
+    local.repartition(7).write.parquet(many)
+    scan = spark.read.parquet(many)
+    want8, want10 = brute_passages(rows, 5), brute_groups(rows, 3, 90)
+    for df in (local, halves, scan):
+        own = rows if df is not halves else [(r.doc_id, r.text, r.source) for r in halves.collect()]
+        if df is halves:
+            want8, want10 = brute_passages(own, 5), brute_groups(own, 3, 90)
+        elif df is scan:
+            want8, want10 = brute_passages(rows, 5), brute_groups(rows, 3, 90)
+        a, b, c = passages.drop_passages(df, size=5), ngramjoin.jaccard_groups(df, size=3, percent=90), ngramjoin.one_of_each(df, size=3, percent=90)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            assert collections.Counter((r.doc_id, r.n_words, r.n_removed, r.text) for r in a.collect()) == want8
+            assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in b.collect()) == want10
+            assert c.columns == df.columns and c.count() == b.where("leader").count()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_op10_common_shingle(spark):
+    """A shingle that ten thousand unlike texts hold enters no prefix: it is last in the global order."""
+    line = "all rights are reserved here"
+    rows = [(i, f"{words(12, 3000 + i // 2)} q{i // 2} {line} {words(12, 90_000 + i // 2)}") for i in range(10_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    from weftlink.llm import blocks
+
+    sets = ngramjoin.ordered_sets(blocks.write(df), 5, 80)
+    top = sets.select(F.explode("keys").alias("k")).groupBy("k").count().orderBy(F.desc("count")).first()
+    assert top["count"] == 10_000 and sets.where(F.element_at("keys", -1) != top["k"]).count() == 0
+    got = {r.doc_id: r.component_id for r in ngramjoin.jaccard_groups(df, size=5, percent=80).collect()}
+    assert got == {i: i // 2 * 2 for i in range(10_000)}
+
+
+def test_blocks_keep_every_row(spark):
+    from weftlink.llm import blocks
+
+    df = spark.createDataFrame([(i, "x" * (i * 37 % 5000) if i % 5 else None) for i in range(3000)], "doc_id long, text string").repartition(3)
+    for size in (1, 10_000, 1 << 20):
+        b = blocks.write(df, size)
+        got = collections.Counter((r.doc_id, r.text) for r in blocks.each(b, lambda n, x: iter([x]), df.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ")).collect())
+        assert got == collections.Counter((r.doc_id, r.text) for r in df.collect()) and b.rows == 3000
+    assert blocks.write(df.where("false")).count == 0
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.range(60).select((F.col("id") + 5).alias("a"), (F.col("id") + 6).alias("b")).unionByName(spark.createDataFrame([(900, 901), (900, 900)], "a long, b long"))
     got = {r.id: r.component for r in components.connected(edges).collect()}

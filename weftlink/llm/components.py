@@ -40,6 +40,8 @@ def connected(edges: DataFrame) -> DataFrame:
         after = storage.cut(moved.unionByName(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
         storage.drop_cut(now)
         now = after
-    return now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component").unionByName(
+    out = now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component").unionByName(
         now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     )
+    out._weftlink_path = now._weftlink_path  # for drop_cut, once the result has been written elsewhere
+    return out

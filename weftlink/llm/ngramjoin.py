@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import blocks as bl
 from . import bytewords as bw
 from . import components, sketch, storage
 
@@ -17,6 +17,10 @@ from . import components, sketch, storage
 SHINGLE, PERCENT = 5, 80
 #: Pieces that the global order of shingles is cut into.
 FRAGMENTS = 4
+#: Star rounds go on while the pairs that are left are more than so many for each prefix entry, and fall to this share in a round.
+PAIRS_EACH, SHRINKS = 4, 0.7
+#: Bits of a key for the hash, below those of the estimated count.
+_HASH_BITS = 51
 
 
 def shingle_sets(data: np.ndarray, borders: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -44,57 +48,60 @@ def shingle_sets(data: np.ndarray, borders: np.ndarray, size: int) -> tuple[np.n
     return hashes, doc
 
 
-def _source(size: int):
+def _source(size: int, id_at: int, text_at: int):
     def source(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, object]]:
-        data, borders = bw.buffers(batch.column(1))
+        data, borders = bw.buffers(batch.column(text_at).cast(pa.large_string()))
         data = bw.lower_ascii(data)
+        ids = batch.column(id_at).cast(pa.int64())
         for lo, hi in bw.slices(borders):
             hashes, doc = shingle_sets(data[borders[lo] : borders[hi]], borders[lo : hi + 1] - borders[lo], size)
-            yield hashes, (batch.column(0).slice(lo, hi - lo), doc)
+            yield hashes, (ids.slice(lo, hi - lo), doc)
 
     return source
 
 
-def ordered_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _order_keys(hashes: np.ndarray, estimate: np.ndarray) -> np.ndarray:
+    """Positive numbers that sort by count, then by hash: counts below 64 are told apart, larger ones to 1.6 %."""
+    part, power = np.frexp(estimate.astype(np.float64))
+    code = (power.astype(np.uint64) << np.uint64(6)) | ((part - 0.5) * 128).astype(np.uint64)
+    return ((code << np.uint64(_HASH_BITS)) | (hashes >> np.uint64(64 - _HASH_BITS))).view(np.int64)
+
+
+def ordered_sets(blocks: bl.Blocks, size: int, percent: int, id_at: int = 0, text_at: int = 1) -> DataFrame:
     """Of every document its set's size and 128-bit hash, and in the global order the shingles that others may have.
 
-    The global order is by estimated count, then hash: the estimate takes the upper 7 bits
-    of a key, the hash the other 56. Shingles that the count-min sketch puts at one are no
-    other document's; where they are so many that the rest is less than `percent` of the
-    set, nothing can be similar, and `keys` is null.
+    The global order is by estimated count, then hash. Shingles that the count-min sketch
+    puts at one are no other document's; where they are so many that the rest is less
+    than `percent` of the set, nothing can be similar, and `keys` is null.
     """
-    plan = sketch.Plan(storage.input_bytes(docs) // 2)
-    counts = sketch.counted(docs, _source(size), plan)
-    names = ["doc_id", "node", "n", "h1", "h2", "keys"]
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = TaskContext.get().partitionId() << 32
-        for chunk in sketch.estimated(batches, _source(size), plan, counts):
-            for hashes, estimate, (ids, doc) in chunk:
-                n_docs = len(ids)
-                node = np.arange(at, at + n_docs)
-                at += n_docs
-                n = np.bincount(doc, minlength=n_docs)
-                first = np.concatenate([[0], np.cumsum(n)])
-                sums = []
-                for salt in (0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93):
-                    total = np.zeros(len(hashes) + 1, np.uint64)
-                    np.cumsum(bw.mix(hashes ^ np.uint64(salt)), out=total[1:])
-                    sums.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
-                shared = estimate >= 2
-                n_shared = np.bincount(doc[shared], minlength=n_docs)
-                alive = (n > 0) & (100 * n_shared >= percent * n)
-                pick = shared & alive[doc]
-                keys = ((np.minimum(estimate[pick], 127).astype(np.uint64) << np.uint64(56)) | (hashes[pick] >> np.uint64(8))).view(np.int64)
-                order = np.lexsort((keys, doc[pick]))
-                borders = np.concatenate([[0], np.cumsum(np.where(alive, n_shared, 0))])
-                lists = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(keys[order]))
-                lists = pa.array([x if a else None for x, a in zip(lists, alive)], pa.list_(pa.int64())) if not alive.all() else lists
-                yield pa.RecordBatch.from_arrays([ids, pa.array(node), pa.array(n, pa.int64()), pa.array(sums[0]), pa.array(sums[1]), lists], names=names)
-
-    out = storage.cut(docs.mapInArrow(bw.tidied(sets), "doc_id long, node long, n long, h1 long, h2 long, keys array<long>"), "sets")
-    storage.drop_path(docs.sparkSession, counts)
-    return out
+    plan = sketch.Plan(blocks.bytes // sketch.HASH_BYTES, top=(1 << 32) - 1)
+    answers = sketch.counted(blocks, _source(size, id_at, text_at), plan)
+
+    def sets(block: int, batch: pa.RecordBatch, found: pa.Table) -> pa.Table:
+        at, out = block << bl.ROW_BITS, []
+        for hashes, estimate, (ids, doc) in sketch.estimated(batch, _source(size, id_at, text_at), plan, found):
+            n_docs = len(ids)
+            node = np.arange(at, at + n_docs)
+            at += n_docs
+            n = np.bincount(doc, minlength=n_docs)
+            first = np.concatenate([[0], np.cumsum(n)])
+            sums = []
+            for salt in (0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93):
+                total = np.zeros(len(hashes) + 1, np.uint64)
+                np.cumsum(bw.mix(hashes ^ np.uint64(salt)), out=total[1:])
+                sums.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
+            shared = estimate >= 2
+            n_shared = np.bincount(doc[shared], minlength=n_docs)
+            alive = (n > 0) & (100 * n_shared >= percent * n)
+            pick = shared & alive[doc]
+            keys = _order_keys(hashes[pick], estimate[pick])
+            order = np.lexsort((keys, doc[pick]))
+            borders = np.concatenate([[0], np.cumsum(np.where(alive, n_shared, 0))])
+            lists = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(keys[order]), mask=pa.array(~alive))
+            out.append(pa.RecordBatch.from_arrays([ids, pa.array(node), pa.array(n, pa.int64()), pa.array(sums[0]), pa.array(sums[1]), lists], names=["doc_id", "node", "n", "h1", "h2", "keys"]))
+        return pa.Table.from_batches(out)
+
+    return storage.cut(bl.together(blocks, answers, sets, "doc_id long, node long, n long, h1 long, h2 long, keys array<long>"), "sets")
 
 
 def _least_overlap(na: Column, nb: Column, percent: int) -> Column:
@@ -144,8 +151,9 @@ def similar_pairs(sets: DataFrame, percent: int) -> DataFrame:
     Two sets that are similar share a shingle among the first of each in the global order,
     and after the first such shingle both have enough left (prefix and position filters).
     Each shingle's group is first compared with one member, the one with the fewest rarer
-    shingles, which joins near copies of one text in a linear number of pairs. Of what then
-    is still apart, all pairs of a group are compared, but for those that are joined
+    shingles, which joins near copies of one text in a linear number of pairs. While much is
+    left, one of the members still apart is compared with the others, again and again. Of
+    what then is apart, all pairs of a group are compared, but for those that are joined
     already and those that the filters rule out; so no link between groups is lost.
     """
     ahead = F.col("n") - F.size("keys")
@@ -162,29 +170,49 @@ def similar_pairs(sets: DataFrame, percent: int) -> DataFrame:
     tokens2 = tokens.join(groups, "k").where(most >= _least_overlap(F.col("n"), partner, percent)).select("k", "node", "n", "pos")
     tokens2 = storage.cut(tokens2, "tokens")
     storage.drop_cut(tokens)
-    centres = (
-        tokens2.groupBy("k").agg(F.count("*").alias("c"), F.min(F.struct("pos", "node", "n")).alias("m")).where("c > 1")
-        .select("k", F.col("m.node").alias("cn"), F.col("m.n").alias("csize"), F.col("m.pos").alias("cpos"))
-    )
-    centres = storage.cut(centres, "centres")
+    n_tokens = tokens2.count()
     fragments = _fragments(sets, _cuts(sets))
 
     def enough(na, pa_, nb, pb):
         return F.least(F.col(na) - F.col(pa_), F.col(nb) - F.col(pb)) >= _least_overlap(F.col(na), F.col(nb), percent)
 
-    starred = tokens2.join(centres, "k").where((F.col("node") != F.col("cn")) & enough("n", "pos", "csize", "cpos"))
-    pairs = storage.cut(starred.select(F.col("cn").alias("a"), F.col("node").alias("b"), F.col("csize").alias("na"), F.col("n").alias("nb")).distinct(), "pairs")
-    edges = storage.cut(_linked(pairs, sets, fragments, percent), "links")
-    joined = storage.cut(components.connected(edges), "joined")
-    of = tokens2.join(joined, F.col("node") == F.col("id"), "left").select("k", "node", "n", "pos", F.coalesce("component", "node").alias("comp"))
-    cj = centres.join(joined, F.col("cn") == F.col("id"), "left").select(F.col("k").alias("ck"), F.coalesce("component", "cn").alias("ccomp"))
-    marked = storage.cut(of.join(cj, F.col("k") == F.col("ck")).withColumn("apart", F.col("comp") != F.col("ccomp")).drop("ck"), "marked")
-    left = marked.where("apart").select("k", *[F.col(c).alias("l_" + c) for c in ("node", "n", "pos", "comp")])
-    rest = left.join(marked, "k").where((F.col("l_comp") != F.col("comp")) & (~F.col("apart") | (F.col("l_node") < F.col("node"))) & enough("l_n", "l_pos", "n", "pos"))
-    rest = rest.select(F.col("l_node").alias("a"), F.col("node").alias("b"), F.col("l_n").alias("na"), F.col("n").alias("nb")).distinct()
-    rest = storage.cut(rest, "pairs")
-    out = storage.cut(edges.unionByName(_linked(rest, sets, fragments, percent)), "links")
-    for x in (pairs, edges, joined, marked, rest, centres, tokens2):
+    def verified(found: DataFrame) -> DataFrame:
+        pairs = storage.cut(found.distinct(), "pairs")
+        out = storage.cut(_linked(pairs, sets, fragments, percent), "links")
+        storage.drop_cut(pairs)
+        return out
+
+    # of each group the members by class; at first every member is one of its own
+    marked, edges, before = storage.cut(tokens2.withColumn("comp", F.col("node")), "marked"), None, None
+    while True:
+        centre = F.min(F.struct("pos", "node", "n", "comp")).alias("m")
+        # the first round's centre is of the class that all others are held against; later ones are of other classes
+        own = marked if edges is None else marked.where("apart")
+        centres = own.groupBy("k").agg(centre).select("k", F.col("m.node").alias("cn"), F.col("m.n").alias("csize"), F.col("m.pos").alias("cpos"), F.col("m.comp").alias("ccomp"))
+        centres = storage.cut(centres, "centres")
+        starred = marked.join(centres, "k").where((F.col("comp") != F.col("ccomp")) & enough("n", "pos", "csize", "cpos"))
+        found = verified(starred.select(F.least("cn", "node").alias("a"), F.greatest("cn", "node").alias("b"), F.when(F.col("cn") < F.col("node"), F.col("csize")).otherwise(F.col("n")).alias("na"), F.when(F.col("cn") < F.col("node"), F.col("n")).otherwise(F.col("csize")).alias("nb")))
+        first = centres.select("k", F.col("cn").alias("first")) if edges is None else marked.select("k", "first").distinct()
+        edges = found if edges is None else storage.cut(edges.unionByName(found), "links")
+        reached = components.connected(edges)
+        joined = storage.cut(reached, "joined")
+        storage.drop_cut(reached)
+        classes = tokens2.join(joined, F.col("node") == F.col("id"), "left").select("k", "node", "n", "pos", F.coalesce("component", "node").alias("comp"))
+        lead = first.join(joined, F.col("first") == F.col("id"), "left").select(F.col("k").alias("fk"), "first", F.coalesce("component", "first").alias("fcomp"))
+        after = storage.cut(classes.join(lead, F.col("k") == F.col("fk")).withColumn("apart", F.col("comp") != F.col("fcomp")).drop("fk", "fcomp"), "marked")
+        for x in (marked, centres, joined):
+            storage.drop_cut(x)
+        marked = after
+        sizes = marked.groupBy("k", "comp").agg(F.count("*").cast("double").alias("c")).groupBy("k").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("p"))
+        left = (sizes.agg(F.sum("p")).first()[0] or 0.0) / 2
+        if left <= PAIRS_EACH * n_tokens or (before is not None and left > SHRINKS * before):
+            break
+        before = left
+    apart = marked.where("apart").select("k", *[F.col(c).alias("l_" + c) for c in ("node", "n", "pos", "comp")])
+    rest = apart.join(marked, "k").where((F.col("l_comp") != F.col("comp")) & (~F.col("apart") | (F.col("l_node") < F.col("node"))) & enough("l_n", "l_pos", "n", "pos"))
+    rest = verified(rest.select(F.col("l_node").alias("a"), F.col("node").alias("b"), F.col("l_n").alias("na"), F.col("n").alias("nb")))
+    out = storage.cut(edges.unionByName(rest), "links")
+    for x in (edges, rest, marked, tokens2):
         storage.drop_cut(x)
     return out
 
@@ -192,32 +220,46 @@ def similar_pairs(sets: DataFrame, percent: int) -> DataFrame:
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Groups of documents that links join: doc_id, node, n_shingles, component_id and leader.
 
-    node is the row's place in docs: its partition, shifted by 32 bits, plus its number there.
-
     Texts are lower-cased in A-Z and cut into words; a set holds the distinct runs of
     `size` words. Two documents link when 100 * intersection >= percent * union.
     component_id is the smallest id reachable; leader marks one row of each group, of
-    the smallest id. docs is read twice and must give the same partitions each time, as a
-    table does; a fingerprint guards that.
+    the smallest id; node is the row's number. docs is read once, into blocks; all passes
+    work on these, so any DataFrame will do and its partitions may change meanwhile.
 
     Defined cases: a text of fewer words than a shingle is one shingle; null and empty
     texts have no set and link with nothing; equal sets, repeated rows too, are one node
     from the start and are not paired; rows that share an id are separate rows of one
     result; a row without an id links like any other and its group's id is the smallest
-    that is not null; an empty table gives an empty result; other columns are not read.
+    that is not null; a very long text is a block of its own, held whole by one task at a
+    time; an empty table gives an empty result; other columns are not read.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = ordered_sets(own, size, percent)
+    blocks = bl.write(own)
+    out = groups_of(blocks, size, percent)
+    blocks.drop()
+    return out
+
+
+def groups_of(blocks: bl.Blocks, size: int, percent: int, id_at: int = 0, text_at: int = 1) -> DataFrame:
+    """jaccard_groups of a corpus in blocks, whose columns id_at and text_at are ids and texts."""
+    rows = ordered_sets(blocks, size, percent, id_at, text_at)
     alive = rows.where("keys IS NOT NULL")
     same = alive.groupBy("h1", "h2", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("m"))
     same = storage.cut(same.select("h1", "h2", "n", F.col("m.node").alias("rep"), F.col("m.doc_id").alias("rep_id")), "same")
     sets = storage.cut(alive.join(same.select(F.col("rep").alias("node")), "node", "left_semi").select("node", "n", "keys"), "sets")
-    found = storage.cut(components.connected(similar_pairs(sets, percent)), "components")
+    links = similar_pairs(sets, percent)
+    reached = components.connected(links)
+    found = storage.cut(reached, "components")
+    storage.drop_cut(reached)
     ids = same.join(found, F.col("rep") == F.col("id"), "left").withColumn("comp", F.coalesce("component", "rep"))
     ids = storage.cut(ids.select("h1", "h2", "n", "rep", "rep_id", "comp"), "ids")
+    for x in (same, sets, links, found):
+        storage.drop_cut(x)
     least = ids.groupBy("comp").agg(F.min(F.struct(F.col("rep_id").isNull().alias("none"), F.col("rep_id"), F.col("rep"))).alias("m"))
-    least = least.select("comp", F.col("m.rep_id").alias("component_id"), F.col("m.rep").alias("lead"))
-    by_set = ids.join(least, "comp").select("h1", "h2", "n", "component_id", "lead")
+    least = storage.cut(least.select("comp", F.col("m.rep_id").alias("component_id"), F.col("m.rep").alias("lead")), "least")
+    by_set = storage.cut(ids.join(least, "comp").select("h1", "h2", "n", "component_id", "lead"), "groups")
+    storage.drop_cut(ids)
+    storage.drop_cut(least)
     near = alive.select("doc_id", "node", "n", "h1", "h2").join(by_set, ["h1", "h2", "n"]).select("doc_id", "node", F.col("n").alias("n_shingles"), "component_id", (F.col("node") == F.col("lead")).alias("leader"))
     far = rows.where("keys IS NULL").select("doc_id", "node", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("leader"))
     return near.unionByName(far)
@@ -226,19 +268,16 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """docs with one row of each group of jaccard_groups, its leader; all columns are kept.
 
-    Rows are known by their place, so texts are not dealt out unless the rows that go are
-    too many to broadcast.
+    docs is read once, with all columns, into blocks; the rows that go are dealt to their
+    blocks by number and texts are not dealt at all. Cases as in jaccard_groups.
     """
-    gone = jaccard_groups(docs, id_col, text_col, size, percent).where("NOT leader").select(F.col("node").alias("__node"))
-    gone = storage.small(storage.cut(gone, "gone"), 16)
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(at, at + len(batch)), pa.int64())], names=[*batch.schema.names, "__node"])
-            at += len(batch)
+    blocks = bl.write(docs)
+    groups = groups_of(blocks, size, percent, docs.columns.index(id_col), docs.columns.index(text_col))
+    gone = groups.where("NOT leader").select(F.shiftright("node", bl.ROW_BITS).alias("block"), F.col("node").bitwiseAND(F.lit((1 << bl.ROW_BITS) - 1)).alias("__row"))
 
-    from pyspark.sql import types as T
+    def rest(block: int, batch: pa.RecordBatch, found: pa.Table) -> pa.Table:
+        keep = np.ones(batch.num_rows, bool)
+        keep[found.column("__row").to_numpy()] = False
+        return pa.Table.from_batches([batch.filter(pa.array(keep))])
 
-    numbered = docs.mapInArrow(number, T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))
-    return numbered.join(gone, "__node", "left_anti").select(*docs.columns)
+    return bl.together(blocks, gone, rest, docs.schema)

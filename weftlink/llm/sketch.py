@@ -1,10 +1,10 @@
-"""Count-min sketches of 64-bit hashes, merged by key range and answered by partition.
+"""Count-min sketches of 64-bit hashes, merged by key range and answered by block.
 
-Every task sketches its own rows into sparse rows of counters (cell, count) for `depth`
-hash functions. The counters are dealt by cell range, summed, and each task's chunk gets
-back, for its own cells only, the summed counts. Neither the merged sketch nor any list of
-hashes is ever in one place: what goes out is about two bytes a counter, what comes back
-is a compressed byte a counter, and the width grows with the input.
+Every block of a corpus is sketched into sparse rows of counters (cell, count) for `depth`
+hash functions. The counters are dealt by cell range, summed, and each block gets back, for
+its own cells only, the summed counts. Neither the merged sketch nor any list of hashes is
+ever in one place: what goes out is about two bytes a counter, what comes back is a
+compressed count, and width and ranges grow with the counted size of the input.
 """
 
 from __future__ import annotations
@@ -14,23 +14,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.dataset as pds
-import pyarrow.fs as pfs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from . import blocks as bl
 from . import bytewords as bw
-from . import storage
 
 #: Hash functions, that is rows of the sketch.
 DEPTH = 2
-#: Hashes of one chunk: what a task holds before it sketches them.
-CHUNK = 1 << 20
-#: Counters of one range, about: what a merging task holds at once.
-RANGE = 1 << 20
-#: Answers, about, that one folder holds; there are FOLDERS at least.
-FOLDER, FOLDERS = 1 << 23, 64
+#: Hashes whose counters make one range, about: what a merging task holds at once.
+RANGE = 1 << 18
+#: Bytes of text for one hash, about: it sets the width, never a result.
+HASH_BYTES = 6
 _U = np.uint64
 _SALTS = [_U(0x9FB21C651E98DF25), _U(0xD1B54A32D192ED03), _U(0x8CB92BA72F3D8DD7), _U(0xABC98388FB8FAC03)]
 
@@ -58,105 +52,66 @@ def _pack_sorted(a: np.ndarray) -> tuple[bytes, int]:
 
 
 class Plan:
-    """Width and ranges of a sketch for about n hashes."""
+    """Width and ranges of a sketch for about n hashes, and the largest count that is told apart."""
 
-    def __init__(self, n: int, depth: int = DEPTH, chunk: int = CHUNK):
+    def __init__(self, n: int, depth: int = DEPTH, top: int = 255):
         self.bits = min(60, max(18, math.ceil(math.log2(max(n, 1))) + 4))
         self.range_bits = min(self.bits - 2, max(3, math.ceil(math.log2(max(n / RANGE, 1)))))
-        self.depth, self.chunk = depth, chunk
-        self.folders = max(FOLDERS, n // FOLDER)
+        self.depth, self.top = depth, top
+        self.kind = np.uint8 if top < 256 else np.uint32
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], source: Source, chunk: int) -> Iterator[list[tuple[np.ndarray, object]]]:
-    """Items of a partition, grouped in order until a group holds `chunk` hashes."""
-    held, n = [], 0
-    for batch in batches:
-        for hashes, item in source(batch):
-            if held and n + len(hashes) > chunk:
-                yield held
-                held, n = [], 0
-            held.append((hashes, item))
-            n += len(hashes)
-    if held:
-        yield held
+def counted(blocks: bl.Blocks, source: Source, plan: Plan) -> DataFrame:
+    """First pass: sketch and merge; returns the answers (block, row, rng, n, counts).
 
-
-def _key(part: int, chunk: int) -> int:
-    return (part << 24) | chunk
-
-
-def counted(df: DataFrame, source: Source, plan: Plan) -> str:
-    """First pass: sketch, merge, and write the answers; returns their folder.
-
-    source turns a record batch into (hashes, item) pairs; it must give the same pairs
-    whenever the same partition is read. Answers carry a fingerprint of their chunk, so a
-    second pass over other rows fails instead of giving wrong counts.
+    source turns a block's rows into (hashes, item) pairs, the same whenever it is called.
     """
-    depth, bits, low, chunk, folders = plan.depth, plan.bits, plan.bits - plan.range_bits, plan.chunk, plan.folders
-    names = ["row", "rng", "key", "mark", "n", "width", "cells", "counts"]
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        for c, items in enumerate(_chunks(batches, source, chunk)):
-            hashes = np.concatenate([h for h, _ in items])
-            mark = int(hashes.sum(dtype=_U) >> _U(1))
-            rows = {k: [] for k in names}
-            for row in range(depth):
-                own, counts = np.unique(cells(hashes, row, bits), return_counts=True)
-                rng = (own >> _U(low)).astype(np.int64)
-                edges = np.flatnonzero(np.diff(rng, prepend=-1))
-                for a, b in zip(edges, np.append(edges[1:], len(own))):
-                    packed, width = _pack_sorted(own[a:b] - (_U(rng[a]) << _U(low)))
-                    for k, v in zip(names, (row, int(rng[a]), _key(part, c), mark, int(b - a), width, packed, _pack(np.minimum(counts[a:b], 255).astype(np.uint8)))):
-                        rows[k].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[k], pa.binary() if k in ("cells", "counts") else pa.int64()) for k in names], names=names)
+    depth, bits, low, top, kind = plan.depth, plan.bits, plan.bits - plan.range_bits, plan.top, plan.kind
+    names = ["row", "rng", "block", "n", "width", "cells", "counts"]
+
+    def sketch(block: int, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        hashes = np.concatenate([np.zeros(0, _U), *[h for h, _ in source(batch)]])
+        rows = {k: [] for k in names}
+        for row in range(depth if len(hashes) else 0):
+            own, counts = np.unique(cells(hashes, row, bits), return_counts=True)
+            counts = np.minimum(counts, top).astype(kind)
+            rng = (own >> _U(low)).astype(np.int64)
+            edges = np.flatnonzero(np.diff(rng, prepend=-1))
+            for a, b in zip(edges, np.append(edges[1:], len(own))):
+                packed, width = _pack_sorted(own[a:b] - (_U(rng[a]) << _U(low)))
+                for k, v in zip(names, (row, int(rng[a]), block, int(b - a), width, packed, _pack(counts[a:b]))):
+                    rows[k].append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(rows[k], pa.binary() if k in ("cells", "counts") else pa.int64()) for k in names], names=names)
 
     def merge(table: pa.Table) -> pa.Table:
         at = {k: table.column(k).to_pylist() for k in names}
         sizes = at["n"]
         own = np.concatenate([np.cumsum(_unpack(b, f"<u{w}", n).astype(_U)) for b, w, n in zip(at["cells"], at["width"], sizes)])
-        counts = np.concatenate([_unpack(b, np.uint8, n) for b, n in zip(at["counts"], sizes)])
+        counts = np.concatenate([_unpack(b, kind, n) for b, n in zip(at["counts"], sizes)])
         order = np.argsort(own, kind="stable")
         opens = np.flatnonzero(np.append(True, own[order][1:] != own[order][:-1]))
-        total = np.minimum(np.add.reduceat(counts[order].astype(np.int64), opens), 255).astype(np.uint8)
-        answer = np.empty(len(own), np.uint8)
+        total = np.minimum(np.add.reduceat(counts[order].astype(np.int64), opens), top).astype(kind)
+        answer = np.empty(len(own), kind)
         answer[order] = np.repeat(total, np.diff(np.append(opens, len(own))))
         cuts = np.split(answer, np.cumsum(sizes)[:-1])
         return pa.table({
-            "folder": pa.array([k % folders for k in at["key"]], pa.int32()), "key": pa.array(at["key"], pa.int64()), "mark": pa.array(at["mark"], pa.int64()),
-            "row": pa.array(at["row"], pa.int64()), "rng": pa.array(at["rng"], pa.int64()), "n": pa.array(sizes, pa.int64()),
+            "block": pa.array(at["block"], pa.int64()), "row": pa.array(at["row"], pa.int64()), "rng": pa.array(at["rng"], pa.int64()), "n": pa.array(sizes, pa.int64()),
             "counts": pa.array([_pack(c) for c in cuts], pa.binary()),
         })
 
-    rows = df.mapInArrow(bw.tidied(sketch), "row long, rng long, key long, mark long, n long, width long, cells binary, counts binary")
-    answers = rows.groupBy("row", "rng").applyInArrow(merge, "folder int, key long, mark long, row long, rng long, n long, counts binary")
-    path = storage.fresh_path(df.sparkSession, "counts")
-    answers.repartition(folders, "folder").write.partitionBy("folder").option("compression", "none").parquet(path)
-    return path
-
-
-def _answers(path: str, key: int, depth: int, folders: int) -> tuple[list[np.ndarray], int | None]:
-    fs, root = pfs.FileSystem.from_uri(path)
-    folder = f"{root}/folder={key % folders}"
-    if fs.get_file_info(folder).type == pfs.FileType.NotFound:
-        return [], None
-    table = pds.dataset(folder, filesystem=fs, format="parquet").to_table(columns=["mark", "row", "rng", "n", "counts"], filter=pds.field("key") == key)
-    rows = sorted(table.to_pylist(), key=lambda r: (r["row"], r["rng"]))
-    out = [[r for r in rows if r["row"] == d] for d in range(depth)]
-    return [np.concatenate([_unpack(r["counts"], np.uint8, r["n"]) for r in one]) if one else np.zeros(0, np.uint8) for one in out], rows[0]["mark"] if rows else None
-
-
-def estimated(batches: Iterator[pa.RecordBatch], source: Source, plan: Plan, path: str) -> Iterator[list[tuple[np.ndarray, np.ndarray, object]]]:
-    """Second pass, inside a task: chunks of (hashes, estimates up to 255, item). No estimate is too low."""
-    part = TaskContext.get().partitionId()
-    for c, items in enumerate(_chunks(batches, source, plan.chunk)):
-        hashes = np.concatenate([h for h, _ in items])
-        answers, mark = _answers(path, _key(part, c), plan.depth, plan.folders)
-        if len(hashes) and mark != int(hashes.sum(dtype=_U) >> _U(1)):
-            raise RuntimeError("the second pass reads other rows than the first: write the input as a table first")
-        found = np.full(len(hashes), 255, np.uint8)
-        for row in range(plan.depth if len(hashes) else 0):
-            _, back = np.unique(cells(hashes, row, plan.bits), return_inverse=True)
-            found = np.minimum(found, answers[row][back])
-        cuts = np.cumsum([len(h) for h, _ in items])[:-1]
-        yield [(h, e, item) for (h, item), e in zip(items, np.split(found, cuts))]
+    rows = bl.each(blocks, sketch, "row long, rng long, block long, n long, width long, cells binary, counts binary")
+    return rows.groupBy("row", "rng").applyInArrow(merge, "block long, row long, rng long, n long, counts binary")
+
+
+def estimated(batch: pa.RecordBatch, source: Source, plan: Plan, answers: pa.Table) -> list[tuple[np.ndarray, np.ndarray, object]]:
+    """Second pass: (hashes, estimates up to the plan's top, item) of a block. No estimate is too low."""
+    items = list(source(batch))
+    hashes = np.concatenate([np.zeros(0, _U), *[h for h, _ in items]])
+    found = np.full(len(hashes), plan.top, plan.kind)
+    rows = sorted(answers.to_pylist(), key=lambda r: (r["row"], r["rng"]))
+    for row in range(plan.depth if len(hashes) else 0):
+        totals = np.concatenate([_unpack(r["counts"], plan.kind, r["n"]) for r in rows if r["row"] == row])
+        _, back = np.unique(cells(hashes, row, plan.bits), return_inverse=True)
+        found = np.minimum(found, totals[back])
+    cuts = np.cumsum([len(h) for h, _ in items])[:-1]
+    return [(h, e, item) for (h, item), e in zip(items, np.split(found, cuts))]
