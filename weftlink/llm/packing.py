@@ -6,12 +6,13 @@ import io
 import json
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pfs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
@@ -21,6 +22,10 @@ from . import storage, tokens
 SEQ_LEN = 2048
 #: Tokens that a shard of the binary output holds, about; a task holds one shard at a time.
 SHARD_TOKENS = 4 << 20
+#: Tokens of a unit of short pieces at first; rows of a task in a round, about.
+BUNDLE, ROUND_ROWS = 64, 200_000
+#: A round that places less than one unit in so many is the last before units are halved.
+FEW = 50
 
 
 def cut_lengths(total: np.ndarray, seq_len: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -53,106 +58,166 @@ def pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN, end_id:
     return docs.mapInArrow(bw.tidied(cut), "node long, doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def best_fit_rounds(counts: dict[int, int], seq_len: int) -> list[tuple[int, int, int, int, int]]:
-    """Places for counts[length] pieces of each length: runs (length, first rank, pieces, first sequence, offset).
+def _running(rows: DataFrame, order: list, value: Column, name: str, tasks: int) -> DataFrame:
+    """rows, range-sorted by order, with the running total of value (own row included); no task has more than a range.
 
-    Pieces of one length are alike, and so are sequences of one gap, so a run of ranks
-    stands for its pieces and a run of sequences for its gaps: the state is bounded by
-    seq_len times the rounds, whatever the input. One round goes over the lengths from the
-    largest down. Each takes its successor, the least gap that holds it and that no larger
-    length has taken in this round; where more pieces want a gap than it has sequences,
-    the lowest ranks win and the others look to the next larger gap. After the sweep
-    the gaps are updated, and the round is repeated with what is left. Lengths over half a
-    sequence never share one, so all of these open sequences first; later, when a round
-    places nothing, the largest length left opens as many as it needs.
+    Every range sums its own rows; what came before a range is the sum of one row for each
+    range before it.
     """
-    left = {n: (0, c) for n, c in counts.items() if c > 0}
-    gaps: dict[int, list[tuple[int, int]]] = {}
-    out: list[tuple[int, int, int, int, int]] = []
-    opened = 0
-
-    def open_for(length: int) -> None:
-        nonlocal opened
-        rank, c = left.pop(length)
-        fit = seq_len // length
-        n = -(-c // fit)
-        live, done, depth = n, 0, 0
-        for k in range(fit):  # the k-th piece of each new sequence; the last sequences may get fewer
-            here = min(live, c - done)
-            if here < live:
-                gaps.setdefault(seq_len - k * length, []).append((opened + here, live - here))
-            live = here
-            if not live:
-                break
-            out.append((length, rank + done, here, opened, k * length))
-            done, depth = done + here, k + 1
-        if live:
-            gaps.setdefault(seq_len - depth * length, []).append((opened, live))
-        opened += n
-
-    for length in sorted((n for n in left if 2 * n > seq_len), reverse=True):
-        open_for(length)
-    while left:
-        sizes = sorted(g for g, runs in gaps.items() if g > 0 and runs)
-        fresh: dict[int, list[tuple[int, int]]] = {}
-        placed = False
-        top = len(sizes)
-        for length in sorted(left, reverse=True):
-            i = int(np.searchsorted(sizes, length))
-            while i < top and length in left:
-                gap = sizes[i]
-                while gaps[gap] and length in left:
-                    seq, n = gaps[gap].pop()
-                    rank, c = left.pop(length)
-                    m = min(n, c)
-                    out.append((length, rank, m, seq, seq_len - gap))
-                    fresh.setdefault(gap - length, []).append((seq, m))
-                    if m < n:
-                        gaps[gap].append((seq + m, n - m))
-                    if m < c:
-                        left[length] = (rank + m, c - m)
-                    placed = True
-                i += 1
-        for gap, runs in fresh.items():
-            gaps.setdefault(gap, []).extend(runs)
-        if not placed:
-            open_for(max(left))
+    dealt = storage.cut(rows.repartitionByRange(tasks, *order).withColumn("__p", F.spark_partition_id()).withColumn("__v", value), "ranges")
+    sums = {r["__p"]: r["n"] for r in dealt.groupBy("__p").agg(F.sum("__v").alias("n")).collect()}  # a row for each range
+    before, total = [], 0
+    for p in sorted(sums):
+        before.append((p, total))
+        total += sums[p]
+    starts = F.broadcast(rows.sparkSession.createDataFrame(before, "__p int, __before long"))
+    own = Window.partitionBy("__p").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = dealt.join(starts, "__p").withColumn(name, F.col("__before") + F.sum("__v").over(own))
+    out = out.drop("__p", "__v", "__before")
+    out._weftlink_path = dealt._weftlink_path
     return out
 
 
+#: The state of a packing: gaps (a: sequence, b: 0, m: 0) and units (m pieces of length a, of ranks b and on), by size.
+_STATE = "size long, unit boolean, a long, b long, m long"
+
+
+def sweep(state: DataFrame, tasks: int) -> DataFrame:
+    """One round: state with `by` and `by_size`, the unit that each gap takes, or the gap that each unit goes to; null where there is none.
+
+    Gaps and units are range-sorted by size from the largest down, gaps first among equals.
+    A unit's successor is the least gap that holds it and that no unit before it has taken,
+    that is the nearest gap before it that is still open. Gaps opened less units met is the
+    depth of a row; a unit goes to the gap before it at its own depth, so all units find
+    theirs at once. Where units of one size want the same gap, the lowest ranks have the
+    nearest ones and the others go on to larger gaps. A depth has at most two rows for each
+    distinct size, however many rows there are.
+    """
+    order = [F.desc("size"), "unit", "a", "b"]
+    deep = _running(state, order, F.when(F.col("unit"), -1).otherwise(1).cast("long"), "depth", tasks)
+    level = Window.partitionBy("level").orderBy(*order)
+    deep = deep.withColumn("level", F.when(F.col("unit"), F.col("depth") + 1).otherwise(F.col("depth")))
+    near = lambda c: F.when(F.col("unit"), F.when(~F.lag("unit").over(level), F.lag(c).over(level))).otherwise(F.when(F.lead("unit").over(level), F.lead(c).over(level)))
+    out = storage.cut(deep.select("size", "unit", "a", "b", "m", near("a").alias("by"), near("size").alias("by_size")), "round")
+    storage.drop_cut(deep)
+    return out
+
+
+def _units(spark: SparkSession, totals: dict[int, int], bundle: int) -> DataFrame:
+    """The pieces of each length as units of up to `bundle` tokens: rows of _STATE, made in tasks from the counts of each length."""
+    lengths = np.array(sorted(totals, reverse=True), np.int64)
+    each = np.maximum(1, bundle // lengths)
+    counts = np.array([totals[int(n)] for n in lengths], np.int64)
+    ends = np.cumsum(-(-counts // each))
+    n = int(ends[-1]) if len(ends) else 0
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            k = np.searchsorted(ends, at, "right")
+            rank = (at - (ends[k] - -(-counts[k] // each[k]))) * each[k]
+            m = np.minimum(each[k], counts[k] - rank)
+            yield pa.RecordBatch.from_arrays([pa.array(lengths[k] * m), pa.array(np.ones(len(at), bool)), pa.array(lengths[k]), pa.array(rank), pa.array(m)], names=["size", "unit", "a", "b", "m"])
+
+    return spark.range(n).mapInArrow(make, _STATE)
+
+
+def best_fit_places(spark: SparkSession, totals: dict[int, int], seq_len: int, bundle: int = BUNDLE) -> DataFrame:
+    """(length, rank, m, sequence_id, offset): where the pieces of ranks rank .. rank + m - 1 of a length go, one after another.
+
+    totals has the number of pieces of each length, seq_len entries at most. Lengths over
+    half a sequence never share one: each such piece opens a sequence, and if the tokens
+    need more, these are opened too. Then rounds of sweep() follow: every gap takes one
+    unit at most, gaps are updated, and the next round has what is left. Short pieces of one
+    length go in units of `bundle` tokens first, so that rounds are about seq_len / bundle at
+    most; a round that places nothing has the units halved, and, where they are single
+    pieces, opens sequences for what is left, by rank. State and places are tables
+    throughout; the driver sees counts.
+    """
+    width = "length long, rank long, m long, sequence_id long, offset long"
+    alone = {n: c for n, c in totals.items() if 2 * n > seq_len}
+    n_alone, total = sum(alone.values()), sum(n * c for n, c in totals.items())
+    opened = max(n_alone, -(-total // seq_len))
+    base, at = {}, 0
+    for n in sorted(alone, reverse=True):
+        base[n], at = at, at + alone[n]
+    ends, sizes = np.cumsum([alone[n] for n in base]), np.array([*base, 0], np.int64)
+
+    def opens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seq = batch.column(0).to_numpy()
+            k = np.searchsorted(ends, seq, "right")
+            zero = np.zeros(len(seq), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(seq_len - sizes[k]), pa.array(zero > 0), pa.array(seq), pa.array(zero), pa.array(zero)], names=["size", "unit", "a", "b", "m"])
+
+    gaps = spark.range(opened).mapInArrow(opens, _STATE).where("size > 0")
+    units = _units(spark, {n: c for n, c in totals.items() if n not in alone}, min(bundle, seq_len // 2))
+    done = [spark.createDataFrame([(n, 0, c, base[n], -1) for n, c in alone.items()], width)]  # offset -1: each opens a sequence
+    state = storage.cut(gaps.unionByName(units), "state")
+    while True:
+        n_units, n_gaps, least, most, longest, bundled = state.agg(
+            F.count_if("unit"), F.count_if(~F.col("unit")), F.min(F.when(F.col("unit"), F.col("size"))), F.max(F.when(F.col("unit"), F.col("size"))), F.max(F.when(F.col("unit"), F.col("a"))), F.coalesce(F.max("m"), F.lit(0))
+        ).first()
+        if not n_units:
+            storage.drop_cut(state)
+            break
+        tasks = max(1, min((n_units + n_gaps) // ROUND_ROWS + 1, 10_000))
+        here = sweep(state.where(F.col("unit") | (F.col("size") >= least)), tasks)
+        storage.drop_cut(state)
+        placed = here.where("unit AND by IS NOT NULL").select(F.col("a").alias("length"), F.col("b").alias("rank"), "m", F.col("by").alias("sequence_id"), (F.lit(seq_len) - F.col("by_size")).alias("offset"))
+        waiting = here.where("unit AND by IS NULL").select("size", "unit", "a", "b", "m")
+        open_ = here.where("NOT unit").withColumn("size", F.col("size") - F.coalesce("by_size", F.lit(0))).where("size > 0").select("size", "unit", "a", "b", "m")
+        n_placed = placed.count()
+        if n_placed:
+            done.append(storage.cut(placed, "places"))
+        if n_placed * FEW > n_units:
+            state = storage.cut(open_.unionByName(waiting), "state")
+        elif bundled > 1:
+            half = F.ceil(F.col("m") / 2).cast("long")
+            halves = F.array(F.struct(F.lit(0).cast("long").alias("skip"), half.alias("n")), F.struct(half.alias("skip"), (F.col("m") - half).alias("n")))
+            split = waiting.withColumn("h", F.explode(halves)).where("h.n > 0")
+            split = split.select((F.col("a") * F.col("h.n")).alias("size"), "unit", "a", (F.col("b") + F.col("h.skip")).alias("b"), F.col("h.n").alias("m"))
+            state = storage.cut(open_.unionByName(split), "state")
+        elif n_placed:
+            state = storage.cut(open_.unionByName(waiting), "state")
+        else:
+            each = seq_len // longest  # single pieces, none longer than the longest
+            ranked = _running(waiting, [F.desc("size"), "a", "b"], F.lit(1).cast("long"), "place", tasks)
+            ranked = ranked.withColumn("by", F.lit(opened) + F.floor((F.col("place") - 1) / each))
+            own = Window.partitionBy("by").orderBy("place")
+            ranked = storage.cut(ranked.select("a", "b", "m", "by", "size", (F.sum("size").over(own) - F.col("size")).alias("offset")), "places")
+            done.append(ranked.select(F.col("a").alias("length"), F.col("b").alias("rank"), "m", F.col("by").alias("sequence_id"), "offset"))
+            opened += -(-n_units // each)
+            storage.drop_cut(here)
+            break
+        storage.drop_cut(here)
+    return reduce(lambda x, y: x.unionByName(y), done)
+
+
 def pack(rows: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
     """rows (a table with node, piece, length, ...) with sequence_id and offset.
 
-    Lengths are counted by a partial aggregate, ranked within (partition of the first
-    scan, length) and from the counts of the partitions before, so that one length that a
-    third of all pieces have is in no single task; the runs are sent along with the map
-    that looks each piece's place up.
+    Lengths are counted by a partial aggregate, and pieces ranked within (partition of the
+    first scan, length) and from the counts of the partitions before, so that one length that
+    a third of all pieces have is in no single task. best_fit_places works on ranks; a
+    piece meets its place by length and rank, which no two share.
     """
+    spark, names = rows.sparkSession, list(rows.columns)
     keyed = rows.withColumn("__part", F.shiftright("node", 33))
-    counts = keyed.groupBy("length", "__part").agg(F.count("*").alias("__c"))
-    counts = storage.cut(counts, "counts")
+    counts = storage.cut(keyed.groupBy("length", "__part").agg(F.count("*").alias("__c")), "counts")
     totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("__c").alias("n")).collect()}  # seq_len rows at most
-    runs = np.array(sorted(best_fit_rounds(totals, seq_len)) or np.zeros((0, 5)), np.int64)
     before = Window.partitionBy("length").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("length", "__part", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__start"))
     own = Window.partitionBy("__part", "length").orderBy("node", "piece")
     ranked = keyed.withColumn("__rn", F.row_number().over(own) - 1).join(starts, ["__part", "length"])
     ranked = ranked.withColumn("__rank", F.col("__start") + F.col("__rn"))
-    key = (runs[:, 0] << 40) + runs[:, 1]
-    shared = rows.sparkSession.sparkContext.broadcast((key, runs))  # bounded by seq_len and the rounds
-    names = list(rows.columns)
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, runs = shared.value
-        for batch in batches:
-            length, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("length", "__rank"))
-            at = np.searchsorted(key, (length.astype(np.int64) << 40) + rank, "right") - 1
-            seq, offset = runs[at, 3] + rank - runs[at, 1], runs[at, 4]
-            keep = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(seq, pa.int64()), pa.array(offset, pa.int64())], names=[*names, "sequence_id", "offset"])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields) + ", sequence_id bigint, offset bigint"
-    return ranked.select(*names, "__rank").mapInArrow(place, schema)
+    found = best_fit_places(spark, totals, seq_len)
+    first = F.broadcast(found.where("offset < 0").select("length", F.col("sequence_id").alias("__first")))  # seq_len rows at most
+    spots = found.where("offset >= 0").withColumn("__k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)))
+    spots = spots.select(F.col("length").alias("__length"), (F.col("rank") + F.col("__k")).alias("__at"), "sequence_id", (F.col("offset") + F.col("__k") * F.col("length")).alias("offset"))
+    big = ranked.join(first, "length").select(*names, (F.col("__first") + F.col("__rank")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    small = ranked.where(F.lit(2) * F.col("length") <= seq_len).join(spots, (F.col("length") == F.col("__length")) & (F.col("__rank") == F.col("__at")))
+    return big.unionByName(small.select(*names, "sequence_id", "offset"))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -161,7 +226,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN,
     A document's ids end with end_id. One of at most seq_len ids stays whole; a longer one
     is cut into pieces of seq_len, the rest being the first.
 
-    Defined cases: null and empty texts are end_id alone; repeated rows and rows that share
+    Defined cases: null and empty texts are end_id alone; a very long text is encoded whole
+    by one task and has many pieces; pieces of one length are alike and go by the order of
+    the input; repeated rows and rows that share
     an id are packed each for itself; a null id stays null; an empty table gives an empty
     result; other columns are not read.
     """
