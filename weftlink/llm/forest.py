@@ -74,11 +74,11 @@ def route(vectors: np.ndarray, node: int, limits: dict[int, tuple[float, float]]
     return np.concatenate([r for r, _, _ in found]), np.concatenate([np.full(len(r), n, np.int64) for r, n, _ in found]), np.concatenate([np.full(len(r), t, bool) for r, _, t in found])
 
 
-def _unit(column: pa.Array, dims: int) -> np.ndarray:
-    """Unit vectors in double precision, scaled by the largest component first so that no square overflows or vanishes."""
+def _unit(column: pa.Array) -> np.ndarray:
+    """Unit vectors, all of one length, in double precision, scaled by the largest component first so that no square overflows or vanishes."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    v = np.asarray(column.flatten()).reshape(-1, dims).astype(np.float64) if len(column) else np.zeros((0, dims))
+    v = np.asarray(column.flatten()).reshape(len(column), -1).astype(np.float64) if len(column) else np.zeros((0, 1))
     v = v / np.abs(v).max(axis=1, keepdims=True, initial=0)
     return v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
 
@@ -105,17 +105,18 @@ def distinct_vectors(rows: DataFrame, id_col: str, vector_col: str) -> tuple[Dat
     return out
 
 
-def forest_leaves(distinct: DataFrame, dims: int, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE, least: float = 0.9) -> DataFrame:
+def forest_leaves(distinct: DataFrame, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE, least: float = 0.9) -> DataFrame:
     """(rep, node, dense): the leaves of every vector in all trees; only numbers are kept, vectors stay where they are.
 
+    Vectors of each length (dims) have trees of their own: the length is part of the root's number.
     Every round splits all nodes that are too large by LEVELS levels, each fitted on a
     hash sample of about `sample` of its own rows, so that nothing that is gathered grows
     with the input; the rows of leaves are done. A node whose sample is tight, and one that
     a round cannot thin out, is left as it is and marked dense. Thresholds are broadcast
     while they are few and joined by node beyond that.
     """
-    roots = [int(x) for x in (bw.mix(np.arange(1, trees + 1, dtype=np.uint64)) >> np.uint64(1))]
-    now = storage.cut(distinct.select("rep", F.explode(F.array(*[F.lit(r) for r in roots])).alias("node")), "nodes")
+    roots = F.array(*[F.shiftrightunsigned(F.xxhash64(F.lit(t), "dims"), 1) for t in range(1, trees + 1)])
+    now = storage.cut(distinct.select("rep", F.explode(roots).alias("node")), "nodes")
     vectors = distinct.select("rep", "u")
     done: list[DataFrame] = []
     for turn in range(ROUNDS):
@@ -130,19 +131,18 @@ def forest_leaves(distinct: DataFrame, dims: int, trees: int = TREES, leaf: int
         def fit(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
             # as many levels as this node still needs
             need = int(np.ceil(np.log(key[1].as_py() / leaf) / -np.log(0.5 + spill / 2)))
-            found = fit_node(_unit(table.column("u"), dims), key[0].as_py(), max(1, min(LEVELS, need)), spill, least)
+            found = fit_node(_unit(table.column("u")), key[0].as_py(), max(1, min(LEVELS, need)), spill, least)
             return pa.table({"node": pa.array([key[0].as_py()], pa.int64()), "own": pa.array([[x[0] for x in found]], pa.list_(pa.int64())), "low": pa.array([[x[1] for x in found]], pa.list_(pa.float64())), "high": pa.array([[x[2] for x in found]], pa.list_(pa.float64()))})
 
         def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 table = pa.Table.from_batches([batch])
                 node, rep, size = (table.column(c).to_numpy() for c in ("node", "rep", "c"))
-                u = _unit(table.column("u"), dims)
                 _, first, back = np.unique(node, return_index=True, return_inverse=True)
                 for g, at in enumerate(first):
                     own = np.flatnonzero(back == g)
                     limits = dict(zip(table.column("own")[at].as_py(), zip(table.column("low")[at].as_py(), table.column("high")[at].as_py())))
-                    r, n, tight = route(u[own], int(node[at]), limits)
+                    r, n, tight = route(_unit(table.column("u").take(pa.array(own))), int(node[at]), limits)
                     yield pa.RecordBatch.from_arrays([pa.array(rep[own[r]]), pa.array(n), pa.array(size[own[r]]), pa.array(tight)], names=["rep", "node", "parent", "tight"])
 
         work = now.join(hint(big), "node")
@@ -245,47 +245,40 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     Copies of one vector are one point with a count.
 
     Defined cases: null, empty and zero vectors and those with null or non-finite
-    components link with nothing; vectors of other lengths than the most common one link
-    only with their copies; repeated rows are copies of one vector; a null id stays null
-    and is no component's name where there is another; an empty table gives an empty
-    result; labels and other columns are not read.
+    components link with nothing; vectors of different lengths never link, those of each
+    length are compared among themselves; a cosine within 1e-9 of `least` is summed anew in
+    one order, so ties do not depend on blocks; repeated rows are copies of one vector; a
+    null id stays null and is no component's name where there is another; an empty table
+    gives an empty result; labels and other columns are not read.
     """
-    members, distinct = distinct_vectors(rows, id_col, vector_col)
-    sizes = distinct.groupBy(F.col("dims").alias("d")).agg(F.sum("copies").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
-    links = None
-    if sizes:
-        dims = sizes[0]["d"]
-        points = distinct.where(F.col("dims") == dims)
-        leaves = forest_leaves(points, dims, trees, leaf, spill, least=least)
-        # every leaf of a vector, in order: a few dozen numbers
-        homes = leaves.groupBy("rep").agg(F.array_sort(F.collect_list("node")).alias("homes"))
-        dense = leaves.where("dense").groupBy("node").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / (BLOCK_LEAVES * leaf))).cast("int").alias("blocks"))
-        full = points.select("rep", "u", "copies").join(homes, "rep").withColumn("node", F.explode("homes"))
-        full = full.join(storage.small(storage.cut(dense, "dense"), 16), "node", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-        # a dense node's vectors go to all pairs of blocks that theirs is in
-        block = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int")
-        full = full.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        full = full.withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
-
-        def compare(table: pa.Table) -> pa.Table:
-            u = _unit(table.column("u"), dims)
-            rep, copies, block = (table.column(c).to_numpy() for c in ("rep", "copies", "block"))
-            home = table.column("node")[0].as_py()
-            lists = table.column("homes").combine_chunks()
-            flat, cuts = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
-            x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
-            n, root = links_of(u, copies, flat, cuts, np.flatnonzero(block == x), np.flatnonzero(block == y), home, least)
-            has, far = np.flatnonzero(n), np.flatnonzero(root != np.arange(len(u)))
-            return pa.table({
-                "rep": pa.array(np.concatenate([rep[has], rep[far]]), pa.int64()), "n": pa.array(np.concatenate([n[has].astype(np.int64), np.zeros(len(far), np.int64)]), pa.int64()),
-                "to": pa.array([*[None] * len(has), *rep[root[far]].tolist()], pa.int64()),
-            })
-
-        links = full.select("node", "x", "y", "rep", "u", "copies", "block", "homes").groupBy("node", "x", "y").applyInArrow(compare, "rep long, n long, to long")
-        links = storage.cut(links, "links")
-    spark = rows.sparkSession
-    if links is None:
-        links = spark.createDataFrame([], "rep long, n long, to long")
+    members, points = distinct_vectors(rows, id_col, vector_col)
+    leaves = forest_leaves(points, trees, leaf, spill, least=least)
+    # every leaf of a vector, in order: a few dozen numbers
+    homes = leaves.groupBy("rep").agg(F.array_sort(F.collect_list("node")).alias("homes"))
+    dense = leaves.where("dense").groupBy("node").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / (BLOCK_LEAVES * leaf))).cast("int").alias("blocks"))
+    full = points.select("rep", "u", "copies").join(homes, "rep").withColumn("node", F.explode("homes"))
+    full = full.join(storage.small(storage.cut(dense, "dense"), 16), "node", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    # a dense node's vectors go to all pairs of blocks that theirs is in
+    block = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int")
+    full = full.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    full = full.withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        u = _unit(table.column("u"))
+        rep, copies, block = (table.column(c).to_numpy() for c in ("rep", "copies", "block"))
+        home = table.column("node")[0].as_py()
+        lists = table.column("homes").combine_chunks()
+        flat, cuts = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
+        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
+        n, root = links_of(u, copies, flat, cuts, np.flatnonzero(block == x), np.flatnonzero(block == y), home, least)
+        has, far = np.flatnonzero(n), np.flatnonzero(root != np.arange(len(u)))
+        return pa.table({
+            "rep": pa.array(np.concatenate([rep[has], rep[far]]), pa.int64()), "n": pa.array(np.concatenate([n[has].astype(np.int64), np.zeros(len(far), np.int64)]), pa.int64()),
+            "to": pa.array([*[None] * len(has), *rep[root[far]].tolist()], pa.int64()),
+        })
+
+    links = full.select("node", "x", "y", "rep", "u", "copies", "block", "homes").groupBy("node", "x", "y").applyInArrow(compare, "rep long, n long, to long")
+    links = storage.cut(links, "links")
     found = components.connected(links.where("to IS NOT NULL").select(F.col("rep").alias("a"), F.col("to").alias("b")))
     totals = links.groupBy("rep").agg(F.sum("n").alias("far"))
     least_id = members.where("rep IS NOT NULL").groupBy("rep").agg(F.min("vec_id").alias("least"), F.max("copies").alias("copies"))
