@@ -137,25 +137,78 @@ def test_op1_every_record_has_one_owner(size):
     assert seen == offsets
 
 
-def test_op2_runs_place_every_piece():
-    for trial in range(60):
-        r = random.Random(trial)
-        size = r.choice([8, 16, 64])
-        lengths = [r.randint(1, size) for _ in range(r.randint(0, 200))]
-        runs = packing.best_fit_rounds(dict(collections.Counter(lengths)), size)
-        use, got = collections.defaultdict(list), collections.Counter()
-        for n, rank, m, seq, offset in runs:
-            for i in range(m):
-                use[seq + i].append((offset, n))
-                got[(n, rank + i)] += 1
-        assert sorted(got) == sorted((n, k) for n, c in collections.Counter(lengths).items() for k in range(c)) and set(got.values()) <= {1}
-        for placed in use.values():
-            at = 0
-            for offset, n in sorted(placed):
-                assert offset == at
-                at += n
-            assert at <= size
-        assert len(use) <= -(-sum(lengths) // size) * 1.25 + 1
+def naive_best_fit(lengths, size):
+    """Sequences that best-fit-decreasing opens, by looking at all of them for every piece."""
+    gaps = []
+    for n in sorted(lengths, reverse=True):
+        fit = [g for g in gaps if g >= n]
+        if fit:
+            gaps.remove(min(fit))
+            gaps.append(min(fit) - n)
+        else:
+            gaps.append(size - n)
+    return len(gaps)
+
+
+def test_op2_sweep_is_the_successor_rule(spark):
+    """One round gives every unit, from the largest down, the least open gap that holds it."""
+    r = random.Random(7)
+    for n, tasks in ((0, 1), (30, 1), (300, 5)):
+        gaps, units = [(r.randint(1, 20), i) for i in range(n)], [(r.randint(1, 20), i) for i in range(n)]
+        rows = [(g, False, i, 0, 0) for g, i in gaps] + [(u, True, u, i, 1) for u, i in units]
+        got = packing.sweep(spark.createDataFrame(rows, packing._STATE), tasks).collect()
+        met = collections.Counter((x.size, x.by_size) for x in got if x.unit and x.by is not None)
+        assert collections.Counter((x.by_size, x.size) for x in got if not x.unit and x.by is not None) == met
+        left, want = [g for g, _ in gaps], collections.Counter()
+        for u in sorted((u for u, _ in units), reverse=True):
+            fit = [g for g in left if g >= u]
+            if fit:
+                left.remove(min(fit))
+                want[(u, min(fit))] += 1
+        assert met == want and len({x.by for x in got if x.unit and x.by is not None}) == sum(met.values())
+
+
+@pytest.mark.parametrize("trial", range(3))
+def test_op2_places_every_piece(spark, trial):
+    r = random.Random(trial)
+    size = (16, 64, 256)[trial]
+    lengths = [min(size, r.choice([r.randint(1, size), r.randint(1, 6), 3])) for _ in range((0, 900, 300)[trial])]
+    places = packing.best_fit_places(spark, dict(collections.Counter(lengths)), size, size // 16).collect()
+    use, got = collections.defaultdict(list), collections.Counter()
+    for p in places:
+        for k in range(p.m):
+            got[(p.length, p.rank + k)] += 1
+            use[p.sequence_id + (k if p.offset < 0 else 0)].append((max(p.offset, 0) + (p.length * k if p.offset >= 0 else 0), p.length))
+    assert sorted(got) == sorted((n, k) for n, c in collections.Counter(lengths).items() for k in range(c)) and set(got.values()) <= {1}
+    for placed in use.values():
+        at = 0
+        for offset, n in sorted(placed):
+            assert offset == at
+            at += n
+        assert at <= size
+    assert len(use) <= 1.05 * naive_best_fit(lengths, size) + 1
+
+
+def test_op7_tree_finds_the_least_gap():
+    r = random.Random(9)
+    for size in (1, 7, 64, 100):
+        tree, open_ = packing.CapacityTree(size), []
+        for i in range(400):
+            if r.random() < 0.6:
+                gap = r.randint(1, size)
+                tree.add(gap, i)
+                open_.append(gap)
+            else:
+                need = r.randint(1, size)
+                fit = [g for g in open_ if g >= need]
+                found = tree.take(need)
+                assert (found[0] if found else None) == (min(fit) if fit else None)
+                if fit:
+                    open_.remove(min(fit))
+    for trial in range(30):
+        lengths = np.array([r.randint(1, 50) for _ in range(r.randint(0, 120))], np.int64)
+        seq, offset, n = packing.best_fit_decreasing(lengths, 50)
+        assert n == naive_best_fit(lengths.tolist(), 50)
 
 
 def reference_pieces(seq_len):
@@ -293,10 +346,20 @@ def test_op5_near_lines(spark):
 
     rows = [(i, "\n".join(typo(r.choice(base)) for _ in range(r.randint(1, 6)))) for i in range(50)]
     lines = sorted({x for _, t in rows for x in t.split("\n") if len(x) >= 9})
-    ids = dict((x.line, x.id) for x in spark.createDataFrame([(x,) for x in lines], "line string").select("line", F.xxhash64("line").alias("id")).collect())
-    want = {tuple(sorted((ids[a], ids[b]))) for i, a in enumerate(lines) for b in lines[i + 1 :] if edits(a, b) <= 2}
-    got = {tuple(sorted((x.a, x.b))) for x in linededup.near_lines(spark.createDataFrame(rows, "doc_id long, text string"), 9, 2).collect()}
-    assert got == want and want
+    pairs = [(a, b) for i, a in enumerate(lines) for b in lines[i + 1 :] if edits(a, b) <= 2]
+    want = {x: x for x in lines}
+    for a, b in pairs:
+        a, b = want[a], want[b]
+        want = {x: min(a, b) if g in (a, b) else g for x, g in want.items()}
+    texts, edges = linededup.near_lines(spark.createDataFrame(rows, "doc_id long, text string"), 9, 2)
+    line = {x.node: x.line for x in texts.collect()}
+    found = {(line[e.a], line[e.b]) for e in edges.collect()}
+    assert found and all(edits(a, b) <= 2 for a, b in found)
+    got = {x: x for x in lines}
+    for a, b in found:
+        a, b = got[a], got[b]
+        got = {x: min(a, b) if g in (a, b) else g for x, g in got.items()}
+    assert got == want and len(set(want.values())) < len(lines)
 
 
 def test_op5_long_lines(spark):
@@ -309,7 +372,7 @@ def test_op5_long_lines(spark):
             b[r.randrange(len(b))] = r.choice("etaoin shrdlu")
         pairs.append(("".join(a), "".join(b)))
     df = spark.createDataFrame([(2 * i + k, x) for i, p in enumerate(pairs) if p[0] != p[1] for k, x in enumerate(p)], "doc_id long, text string")
-    assert linededup.near_lines(df).count() == df.count() // 2
+    assert linededup.near_lines(df)[1].count() == df.count() // 2
 
 
 def test_op5_short_lines(spark):
@@ -324,6 +387,26 @@ def test_op5_keeps_what_is_left(spark):
     assert {r.doc_id: r.text for r in kept} == {1: rows[0][1], 2: "found nowhere else"}
 
 
+def test_op5_heavy_and_near_copies(spark, monkeypatch):
+    """A line that most documents have, one that most have with an edit, and rows that are no near copies of these."""
+    monkeypatch.setattr(linededup, "HEAVY", 20)
+    r = random.Random(12)
+    common, base = "one line that nearly every document of the corpus has", "seen by 0000 readers since the day it was first published"
+    rows = [(i, f"{common}\n{base.replace('0000', f'{i % 40:04d}')}\n{words(12, 700 + i)}\n{common if r.random() < 0.2 else words(3, 900 + i)}") for i in range(300)]
+    want = {}
+    kept = []
+    for i, t in rows:
+        gone = []
+        for k, x in enumerate(t.split("\n")):
+            if x in kept or any(abs(len(x) - len(y)) <= 2 and edits(x, y) <= 2 for y in kept[-40:] + kept[:4]):
+                gone.append(str(k))
+            else:
+                kept.append(x)
+        want[i] = ",".join(gone)
+    got = {x.doc_id: x.removed for x in linededup.line_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert got == want and len(want[299].split(",")) >= 2
+
+
 def test_op5_cases(docs, none):
     by = collections.defaultdict(list)
     for r in linededup.line_report(docs).collect():
@@ -377,6 +460,21 @@ def links_against_brute(spark, v, **kw):
     return sum(r.n_links for r in forest.near_vectors(df, **kw).collect()), int((u @ u.T >= 0.9).sum()) - len(v)
 
 
+def test_op6_two_lengths(spark):
+    """Vectors of every length are compared, with their like only."""
+    rng = np.random.default_rng(11)
+    rows, want = [], {}
+    for dims, n in ((24, 300), (6, 60), (3, 30)):
+        base = rng.standard_normal((n // 2, dims))
+        v = np.vstack([base, base + 0.02 * rng.standard_normal(base.shape)])
+        u = v / np.linalg.norm(v, axis=1, keepdims=True)
+        for i, c in enumerate((u @ u.T >= 0.9).sum(1) - 1):
+            want[len(rows)] = int(c)
+            rows.append((len(rows), v[i].tolist()))
+    got = {r.vec_id: r.n_links for r in forest.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), leaf=64).collect()}
+    assert sum(got.values()) >= 0.99 * sum(want.values()) and all(got[i] <= want[i] for i in want) and all(got[i] >= 1 for i in got)
+
+
 def test_op6_large_clump(spark):
     rng = np.random.default_rng(8)
     clump = rng.standard_normal(64) + 0.3 * rng.standard_normal((2500, 64))
@@ -406,6 +504,16 @@ def test_op8_passages(docs, none):
     assert passages.drop_passages(none).count() == 0
 
 
+def test_op8_many_blocks(docs, monkeypatch):
+    """Blocks of one document, of which three meet at a time."""
+    from weftlink.llm import blocks
+
+    monkeypatch.setattr(passages, "MEET", 3)
+    monkeypatch.setattr(blocks.write, "__defaults__", (1,))
+    got = collections.Counter((r.doc_id, r.n_words, r.n_removed, r.text) for r in passages.drop_passages(docs, size=5).collect())
+    assert got == brute_passages(ROWS, 5)
+
+
 def test_op9_marginals_are_those_of_all_labelings():
     rng = np.random.default_rng(1)
     chain = linecrf.Chain(rng.standard_normal(3), rng.standard_normal((2, 2)))

@@ -15,13 +15,15 @@ BROADCAST_BYTES = 8 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, from spark.checkpoint.dir.
 
-    Only where the session has no such setting (tests on one machine) a folder
-    of our own is made and kept in the session.
+    Only in a local session without that setting (tests on one machine) a folder of our
+    own is made and kept in the session; on a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         found = spark.conf.get("spark.weftlink.shared.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="weftlink-")
         spark.conf.set("spark.weftlink.shared.dir", found)
     return found.rstrip("/")
@@ -62,6 +64,8 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate; guides widths and task counts, never results."""
-    return min(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())), 1 << 50)
+def free_names(df: DataFrame, n: int) -> list[str]:
+    """n column names that df does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    free = (f"__{i}" for i in range(n + len(taken)) if f"__{i}" not in taken)
+    return [next(free) for _ in range(n)]
