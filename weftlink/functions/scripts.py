@@ -28,6 +28,10 @@ _CONSONANTS = {
     0x34: "l", 0x35: "v", 0x36: "s", 0x37: "s", 0x38: "s", 0x39: "h",
 }
 _SIGNS = {0x3E: "a", 0x3F: "i", 0x40: "i", 0x41: "u", 0x42: "u", 0x43: "r", 0x46: "e", 0x47: "e", 0x48: "ai", 0x4A: "o", 0x4B: "o", 0x4C: "au"}
+#: Consonants, by offset, that keep their vowel at a word's end (fixed values).
+_KEEP_VOWEL = {0x29, 0x31, 0x33, 0x34}
+#: Marks by offset (fixed values).
+_MARKS = {0x3D: "'", 0x64: "|", 0x65: "||"}
 _VIRAMA, _NUKTA, _NASALS, _VISARGA = 0x4D, 0x3C, (0x01, 0x02), 0x03
 
 
@@ -36,9 +40,9 @@ def _block_start(ch: str) -> int | None:
 
 
 def _indic(word: str) -> str:
-    """Sound out one run of Indic characters: consonants carry 'a' unless a sign or virama follows, and lose it at a word's end."""
+    """Sound out one run of Indic characters: consonants carry 'a' unless a sign or virama follows, and most lose it at a word's end."""
     out: list[str] = []
-    bare = False  # the last consonant still carries its own vowel
+    bare = keeps = False  # the last consonant still carries its own vowel, and does so at a word's end
     for i, ch in enumerate(word):
         start = _block_start(ch)
         if start is None:
@@ -51,7 +55,7 @@ def _indic(word: str) -> str:
             if bare:
                 out.append("a")
             out.append(_CONSONANTS[at])
-            bare = True
+            bare, keeps = True, at in _KEEP_VOWEL
         elif at in _SIGNS:
             out.append(_SIGNS[at])
             bare = False
@@ -73,10 +77,16 @@ def _indic(word: str) -> str:
             out.append("ah" if bare else "h")
             bare = False
         elif 0x66 <= at <= 0x6F:
+            if bare:
+                out.append("a")
+                bare = False
             out.append(str(at - 0x66))
+        elif at in _MARKS:
+            out.append("a" * (bare and keeps) + _MARKS[at])
+            bare = False
         elif at != _NUKTA:
             continue
-    return "".join(out)
+    return "".join(out) + "a" * (bare and keeps)
 
 
 @lru_cache(maxsize=100_000)
@@ -109,24 +119,27 @@ def _script_udf(s: pd.Series) -> pd.Series:
     return s.map(script_of, na_action="ignore")
 
 
-def _fold_table() -> tuple[str, str]:
-    """Accented Latin letters that fold to one ASCII letter, and these letters."""
-    pairs = []
-    for o in range(0xC0, 0x250):
-        plain = _SPELLED.get(chr(o), unicodedata.normalize("NFKD", chr(o)).encode("ascii", "ignore").decode())
-        if len(plain) == 1:
-            pairs.append((chr(o), plain))
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+def _fold_table() -> tuple[str, str, dict[str, str]]:
+    """Letters from U+00C0 to U+024F by to_latin: those spelled by one letter and the spellings, those that are dropped at the end of the first; and those spelled by several."""
+    spelled = {chr(o): to_latin(chr(o)) for o in range(0xC0, 0x250)}
+    one = {a: b for a, b in spelled.items() if len(b) == 1}
+    gone = "".join(a for a, b in spelled.items() if not b)
+    return "".join(one) + gone, "".join(one.values()), {a: b for a, b in spelled.items() if len(b) > 1}
 
 
-FOLD_FROM, FOLD_TO = _fold_table()
+FOLD_FROM, FOLD_TO, FOLD_LONG = _fold_table()
 
 
 def fold_latin(c: Column) -> Column:
-    """Accents dropped inside the JVM, for text of Latin letters up to U+024F."""
-    for a, b in (("ß", "ss"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE")):
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return F.translate(c, FOLD_FROM, FOLD_TO)
+    """to_latin inside the JVM, for text of ASCII and letters from U+00C0 to U+024F.
+
+    Letters of several spellings are replaced only in rows that hold one of them.
+    """
+    long = c
+    for a, b in FOLD_LONG.items():
+        long = F.replace(long, F.lit(a), F.lit(b))
+    long = F.when(c.rlike("[" + "".join(FOLD_LONG) + "]"), long).otherwise(c)
+    return F.translate(long, FOLD_FROM, FOLD_TO)
 
 
 def latin(c: Column) -> Column:

@@ -16,6 +16,7 @@ NORMAL_COLUMNS = [
     "name_norm", "name_core", "name_alt", "legal_form", "is_web", "name_key", "name_script",
     "addr_norm", "postcode", "house_no", "street_tok", "num_tokens", "localities",
 ]
+# Endings of web names, and what stands before a trade name.
 _WEB = r"\.(?:com|net|org|in|co|fr|biz|info|io|us)\b"
 _TRADING_AS = r"\b(?:dba|d b a|doing business as)\b"
 
@@ -30,10 +31,8 @@ def clean(c: Column, commas: bool = False, any_script: bool = True) -> Column:
     any_script=False stays in the JVM and is meant for text in Latin letters.
     """
     c = latin(c) if any_script else fold_latin(c)
-    c = F.lower(F.regexp_replace(c, "['’`´]", ""))
-    c = F.replace(c, F.lit("&"), F.lit(" and "))
-    c = F.regexp_replace(c, "[^a-z0-9,]+" if commas else "[^a-z0-9]+", " ")
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    c = F.replace(F.lower(F.translate(c, "'’`´", "")), F.lit("&"), F.lit(" and "))
+    return F.trim(F.regexp_replace(c, "[^a-z0-9,]+" if commas else "[^a-z0-9]+", " "))
 
 
 def words(c: Column) -> Column:

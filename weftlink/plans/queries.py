@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from ..functions import phonetics, scripts, similarity as S, text
 from ..operators import blocking, decide, features, lexicon, metrics, model, split
 from ..sources import tables
+from . import business as B
+from . import business_sql as BS
 from . import views as V
 
 
 def clean_text(spark: SparkSession, d: str) -> DataFrame:
-    return V.records(spark, d).select("idx", text.clean(F.col("business_name"), any_script=False).alias("name"), text.clean(F.col("business_address"), True, any_script=False).alias("address"))
+    return V.records(spark, d).select("idx", text.clean(F.col("business_name")).alias("name"), text.clean(F.col("business_address"), True).alias("address"))
 
 
 def profile_by_source(spark, d):
@@ -27,7 +29,7 @@ def profile_by_source(spark, d):
 
 
 def match_share(spark, d):
-    r = V.simple(spark, d)
+    r = V.named(spark, d)
     right = V.sides(r)[1]
     hit = V.truth(r).select(F.col("r_idx").alias("idx")).distinct().withColumn("hit", F.lit(1.0))
     return right.join(hit, "idx", "left").groupBy("source").agg(F.count("*").alias("n"), F.round(F.avg(F.coalesce("hit", F.lit(0.0))), 6).alias("share"))
@@ -57,7 +59,8 @@ def tfidf_topk(spark, d):
 
 
 def tri_equal(spark, d):
-    x = features.attach_sides(V.candidates(V.simple(spark, d)), *V.sides(V.simple(spark, d)), ["postcode", "house_no", "street_tok"])
+    r = V.simple(spark, d)
+    x = features.attach_sides(V.candidates(r), *V.sides(r), ["postcode", "house_no", "street_tok"])
     return x.select("l_idx", "r_idx", *[S.tri_equal(F.col(f"l_{c}"), F.col(f"r_{c}")).cast("int").alias(f"{c}_eq") for c in ("postcode", "house_no", "street_tok")])
 
 
@@ -115,7 +118,7 @@ def cands_per_left(spark, d):
 
 
 def singletons(spark, d):
-    r = V.simple(spark, d)
+    r = V.named(spark, d)
     return metrics.singletons(V.left_ids(r), V.truth(r))
 
 
@@ -125,16 +128,15 @@ def label_pairs(spark, d):
 
 
 def id_list_output(spark, d):
-    r = V.simple(spark, d)
+    r = V.named(spark, d)
     return tables.id_lists(*V.sides(r), V.truth(r), "matched_entity_ids")
 
 
 def truth_round_trip(spark, d):
     """Lists of ids written as TSV, read again and parsed to pairs."""
-    r = V.simple(spark, d)
+    r = V.named(spark, d)
     l, right = V.sides(r)
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="weftlink-")
-    path = f"{base.rstrip('/')}/tsv-{abs(hash(d)) % 10**9}-{spark.sparkContext.applicationId}"
+    path = f"{tables.shared_dir(spark)}/tsv-{uuid.uuid4().hex}"
     tables.write_tsv(tables.id_lists(l, right, V.truth(r), "matched_entity_ids"), path)
     return tables.parse_truth(tables.read_tsv(spark, path), l, right)
 
@@ -162,25 +164,69 @@ def _name_pairs(spark, d):
 
 
 def mine_abbreviations(spark, d):
-    rows = lexicon.directed(_name_pairs(spark, d)).where("field = 'name'")
-    return lexicon.chosen(lexicon.abbreviations(rows), 2, 0.5)
+    """Abbreviations of names and addresses, learned from the businesses' own pairs."""
+    rows = B.businesses(spark, d).select("idx", F.col("business_name").alias("name"), F.col("business_address").alias("addr"))
+    l, r = (rows.select(F.col("idx").alias(f"{s}_idx"), F.col("name").alias(f"{s}_name"), F.col("addr").alias(f"{s}_addr")) for s in "lr")
+    pairs = B.truth(B.businesses(spark, d)).join(l, "l_idx").join(r, "r_idx")
+    return lexicon.chosen(lexicon.abbreviations(lexicon.directed(pairs)), 2, 0.5)
+
+
+def _sounded(spark, d):
+    """Names of one word, and the same word with its consonants in another script."""
+    words = V.records(spark, d).select("idx", F.explode(text.words(text.clean(F.col("business_name")))).alias("w")).where(F.length("w") >= 4).groupBy("w").agg(F.min("idx").alias("idx"))
+    return words.select("idx", "w", F.translate("w", BS.LETTERS, BS.SIGNS).alias("foreign"))
+
+
+def transliterated_words(spark, d):
+    return _sounded(spark, d).select("w", "foreign", text.clean(F.col("foreign")).alias("latin"))
+
+
+def mine_transliterations(spark, d):
+    """Words of another script beside the Latin spelling that pairs teach."""
+    w = _sounded(spark, d).where("foreign <> w")
+    pairs = w.select(F.col("foreign").alias("l_name"), F.col("w").alias("r_name"), F.lit("").alias("l_addr"), F.lit("").alias("r_addr"))
+    found = lexicon.transliterations(lexicon.directed(pairs)).where("src <> dst OR dst IS NULL")
+    return found.groupBy("src").agg(F.count("dst").alias("n"), F.min("dst").alias("dst")).where("n = 1")
+
+
+def script_of_words(spark, d):
+    """Scripts of words that are partly, evenly or wholly written in other letters."""
+    w = _sounded(spark, d)
+    mixed = F.when(F.col("idx") % 4 == 0, F.concat("foreign", F.lit(" "), F.translate("w", BS.LETTERS, BS.OTHER_SIGNS))).when(F.col("idx") % 4 == 1, F.translate("w", "aeiou", "αειοω")).when(F.col("idx") % 4 == 2, F.col("w")).otherwise(F.col("foreign"))
+    return w.select("w", scripts.script(mixed).alias("script"))
+
+
+def sound_of_records(spark, d):
+    return V.records(spark, d).select("idx", phonetics.metaphone_words(text.clean(F.col("business_name"))).alias("sound"))
 
 
 def name_jaro_winkler(spark, d):
-    return _name_pairs(spark, d).select("l_idx", "r_idx", F.round(S.similarity("jaro_winkler", F.col("l_name"), F.col("r_name")), 6).alias("jw"))
+    r = V.simple(spark, d)
+    x = features.attach_sides(V.candidates(r), *V.sides(r), ["name_core"])
+    return x.select("l_idx", "r_idx", F.round(S.similarity("jaro_winkler", F.col("l_name_core"), F.col("r_name_core")), 6).alias("jw"))
 
 
-def ratio_family(spark, d):
-    a, b = F.col("l_name"), F.col("r_name")
-    return _name_pairs(spark, d).select("l_idx", "r_idx", *[F.round(S.similarity(n, a, b), 6).alias(n) for n in ("ratio", "partial_ratio", "token_sort_ratio", "token_set_ratio")])
+def _business(spark, d):
+    return tables.written(text.normalized(B.businesses(spark, d)))
 
 
-def normalized_records(spark, d):
-    return text.normalized(V.records(spark, d)).drop("business_name", "business_address")
+def _business_pairs(r):
+    """Every left record with its own copy in S2 and the next business's copy in S3, and the Jaccard similarity of their names as p."""
+    l, right = V.sides(r)
+    pairs = l.select(F.col("idx").alias("l_idx"), F.col("name_core").alias("ln"), F.explode(F.array(F.col("idx") + 1, F.col("idx") + 5)).alias("r_idx"))
+    x = pairs.join(right.select(F.col("idx").alias("r_idx"), F.col("name_core").alias("rn")), "r_idx")
+    return x.select("l_idx", "r_idx", F.round(F.coalesce(S.jaccard(F.col("ln"), F.col("rn")), F.lit(0.0)), 6).alias("p"))
+
 
+def ratio_family(spark, d):
+    r = _business(spark, d)
+    x = features.attach_sides(_business_pairs(r), *V.sides(r), ["name_core"])
+    a, b = F.col("l_name_core"), F.col("r_name_core")
+    return x.select("l_idx", "r_idx", *[F.round(S.similarity(n, a, b), 6).alias(n) for n in ("ratio", "partial_ratio", "token_sort_ratio", "token_set_ratio")])
 
-def script_of_records(spark, d):
-    return V.records(spark, d).select("idx", scripts.script(F.col("business_name")).alias("script"), phonetics.metaphone_words(text.clean(F.col("business_name"))).alias("sound"))
+
+def normalized_records(spark, d):
+    return text.normalized(B.businesses(spark, d)).select("idx", *[c for c in text.NORMAL_COLUMNS if c not in ("name_key", "name_script")])
 
 
 def knn_embed(spark, d):
@@ -192,31 +238,25 @@ def knn_embed(spark, d):
     return out.select("l_idx", "r_idx", F.round("embed_cos", 6).alias("embed_cos"))
 
 
-def _part_records(spark, d):
-    """Parts as records with short fields: every part, the role by its key."""
-    p = V.table(spark, d, "part")
-    source = F.when(F.col("p_partkey") % 3 == 0, "S1").when(F.col("p_partkey") % 3 == 1, "S2").otherwise("S3")
-    address = F.concat_ws(", ", F.col("p_size").cast("string"), "p_type", "p_brand")
-    return p.select(F.col("p_partkey").alias("idx"), F.col("p_name").alias("business_name"), address.alias("business_address"), F.lit("x").alias("country"), source.alias("source"))
-
-
 def _featured(spark, d):
-    r = text.normalized(_part_records(spark, d)).persist()
+    """All features of the business pairs, contexts by p, and y."""
+    r = _business(spark, d)
     l, right = V.sides(r)
-    keys = blocking.join_keys(blocking.record_keys(l), blocking.record_keys(right), V.BLOCK_PAIRS)
-    cands = features.cheap_features(blocking.merge_candidates([keys]), l, right)
-    scored = cands.select("l_idx", "r_idx", *blocking.SCORES, "from_keys", (F.col("name_tset") / 200 + F.col("name_jw") / 2).alias("cheap_score"))
-    full = features.full_features(features.context_features(blocking.top_k(scored, "cheap_score", 10)).persist(), l, right)
-    same = l.select("addr_norm", F.col("idx").alias("l_idx")).join(right.select("addr_norm", F.col("idx").alias("r_idx")), "addr_norm").select("l_idx", "r_idx")
-    return metrics.label_pairs(full, same)
+    pairs = _business_pairs(r)
+    cands = blocking.merge_candidates([pairs.select("l_idx", "r_idx", F.lit(True).alias("from_keys")), pairs.where("p >= 0.1").withColumnRenamed("p", "tfidf_name")])
+    scored = cands.join(pairs.withColumnRenamed("p", "cheap_score"), ["l_idx", "r_idx"])
+    full = features.full_features(features.context_features(tables.written(scored)), l, right)
+    return metrics.label_pairs(full, B.truth(r))
 
 
 def full_features(spark, d):
-    return _featured(spark, d)
+    rows = _featured(spark, d)
+    kinds = dict(rows.dtypes)
+    return rows.select("l_idx", "r_idx", *[(F.round(c, 6) if kinds[c] == "double" else F.col(c).cast("int")).alias(c) for c in features.FEATURES])
 
 
 def _scored(spark, d):
-    rows = _featured(spark, d).persist()
+    rows = tables.written(_featured(spark, d))
     fit = decide.bucket("train", F.col("l_idx")) < 0.5
     return model.predict(model.train(rows.where(fit), features.FEATURES, None, 5, 3), rows).select("l_idx", "r_idx", "y", "p")
 
@@ -226,8 +266,20 @@ def gbt_score(spark, d):
 
 
 def calibrated(spark, d):
-    p = V.probabilities(V.simple(spark, d))
-    return decide.crossfit(metrics.label_pairs(p, V.truth(V.simple(spark, d)))).select("l_idx", "r_idx", F.round("p", 9).alias("p"))
+    r = V.simple(spark, d)
+    return decide.crossfit(metrics.label_pairs(V.probabilities(r), V.truth(r))).select("l_idx", "r_idx", F.round("p", 6).alias("p"))
+
+
+def truth_report(spark, d):
+    """Figures of the true pairs: pairs across countries, right records with several owners, left records without any, mean and 99th percentile per left record."""
+    r = V.named(spark, d)
+    return metrics.truth_report(V.truth(r), *V.sides(r)).select(*[F.round(F.col(c).cast("double"), 6).alias(c) for c in metrics.REPORT])
+
+
+def truth_by_group(spark, d):
+    r = V.named(spark, d)
+    right = r.where("source <> 'S1'").select(F.col("idx").alias("r_idx"), "country", "source")
+    return V.truth(r).join(right, "r_idx").groupBy("country", "source").agg(F.count("*").alias("n"))
 
 
 def spend_by_segment(spark, d):
@@ -244,7 +296,8 @@ def spend_by_segment(spark, d):
 QUERIES = {f.__name__: f for f in (
     clean_text, profile_by_source, match_share, record_keys, block_join, merge_candidates, topk_per_left, tfidf_topk, tri_equal, pair_similarities, context_features, one_owner,
     threshold_pick, expected_f05, tune_threshold, scale_unseen, macro_f05, blocking_recall, cands_per_left, singletons, label_pairs, id_list_output, truth_round_trip, folds, dev_slice,
-    mine_abbreviations, name_jaro_winkler, ratio_family, normalized_records, script_of_records, knn_embed, full_features, gbt_score, calibrated, spend_by_segment,
+    mine_abbreviations, mine_transliterations, transliterated_words, script_of_words, sound_of_records, name_jaro_winkler, ratio_family, normalized_records, knn_embed, full_features,
+    gbt_score, calibrated, truth_report, truth_by_group, spend_by_segment,
 )}
 
 _FOLD = "strip_accents(replace(replace(replace({0}, 'ß', 'ss'), 'æ', 'ae'), 'œ', 'oe'))"
@@ -387,15 +440,32 @@ SQL = {
       ), r AS (SELECT idx, entity_id, row_number() OVER (ORDER BY idx) - 1 AS n FROM near WHERE source <> 'S1' AND (hit OR idx IN (SELECT r_idx FROM truth WHERE l_idx IN (SELECT idx FROM l)))
       ) SELECT 'left' AS part, n AS idx, entity_id FROM l UNION ALL SELECT 'right', n, entity_id FROM r
         UNION ALL SELECT 'truth', l.n, r.n::VARCHAR FROM truth JOIN l ON l.idx = l_idx JOIN r ON r.idx = r_idx""",
-    "mine_abbreviations": f"""WITH {_PAIRS}, sided AS (
-        SELECT a.ws AS x, b.ws AS y FROM cands JOIN words a ON a.idx = l_idx JOIN words b ON b.idx = r_idx UNION ALL SELECT b.ws, a.ws FROM cands JOIN words a ON a.idx = l_idx JOIN words b ON b.idx = r_idx
-      ), lone AS (SELECT row_number() OVER () AS i, list_filter(x, lambda t: NOT list_contains(y, t)) AS a, list_filter(y, lambda t: NOT list_contains(x, t)) AS b FROM sided
-      ), src AS (SELECT i, b, unnest(list_filter(a, lambda t: NOT regexp_matches(t, '[0-9]'))) AS src FROM lone
-      ), hits AS (SELECT src, unnest(list_filter(b, lambda t: NOT regexp_matches(t, '[0-9]') AND length(src) >= 2 AND length(src) < length(t) AND regexp_matches(t, '^' || array_to_string(string_split(src, ''), '.*')))) AS dst FROM src
-      ), misses AS (SELECT src, count(*) AS m FROM src WHERE len(list_filter(b, lambda t: NOT regexp_matches(t, '[0-9]') AND length(src) >= 2 AND length(src) < length(t) AND regexp_matches(t, '^' || array_to_string(string_split(src, ''), '.*')))) = 0 GROUP BY src
-      ), tot AS (SELECT src, coalesce(h, 0) + coalesce(m, 0) AS total FROM (SELECT src, count(*) AS h FROM hits GROUP BY src) FULL JOIN misses USING (src)
-      ), c AS (SELECT src, dst, count(*) AS n FROM hits GROUP BY ALL
-      ) SELECT 'name' AS field, src, dst, n FROM c JOIN tot USING (src) WHERE n >= 2 AND n::DOUBLE / total >= 0.5 QUALIFY row_number() OVER (PARTITION BY src ORDER BY n DESC, dst) = 1""",
+    "mine_abbreviations": BS.ABBREVIATIONS,
+    "transliterated_words": f"WITH {_RECORDS}, {BS.SOUNDED} SELECT w, f AS foreign, latin FROM sounded",
+    "mine_transliterations": f"""WITH {_RECORDS}, {BS.SOUNDED} SELECT latin AS src, count(*) FILTER (WHERE near) AS n, min(CASE WHEN near THEN w END) AS dst
+        FROM (SELECT *, length(w) >= 3 AND jaro_winkler_similarity(latin, w) >= 0.7 AS near FROM sounded WHERE f <> w AND length(latin) >= 3 AND latin <> w AND NOT regexp_matches(w, '[0-9]'))
+        GROUP BY latin HAVING count(*) FILTER (WHERE near) = 1""",
+    "script_of_words": f"""WITH {_RECORDS}, {BS.SOUNDED}, m AS (
+        SELECT w, CASE idx % 4 WHEN 0 THEN f || ' ' || translate(w, '{BS.LETTERS}', '{BS.OTHER_SIGNS}') WHEN 1 THEN translate(w, 'aeiou', 'αειοω') WHEN 2 THEN w ELSE f END AS s FROM sounded
+      ), n AS (SELECT w, length(regexp_replace(s, '[^\u0900-\u097F]', '', 'g')) AS dev, length(regexp_replace(s, '[^\u0C80-\u0CFF]', '', 'g')) AS kan, length(regexp_replace(s, '[^\u0370-\u03FF]', '', 'g')) AS gre FROM m
+      ) SELECT w, CASE WHEN greatest(dev, kan, gre) = 0 THEN 'latin' WHEN dev >= greatest(kan, gre) THEN 'devanagari' WHEN kan >= gre THEN 'kannada' ELSE 'other' END AS script FROM n""",
+    "ratio_family": BS.RATIOS,
+    "normalized_records": BS.NORMALIZED,
+    "full_features": BS.FEATURES,
+    "calibrated": f"""WITH {_PAIRS}, lab AS (
+        SELECT l_idx, r_idx, p, (t.r_idx IS NOT NULL)::DOUBLE AS y, ('0x' || substr(md5('crossfit:' || l_idx), 1, 8))::UBIGINT::DOUBLE / 4294967296.0 < 0.5 AS half FROM pred LEFT JOIN truth t USING (l_idx, r_idx)
+      ), pts AS (SELECT half, p AS x, sum(y) AS s, count(*)::DOUBLE AS w, row_number() OVER (PARTITION BY half ORDER BY p) AS i FROM lab GROUP BY half, p
+      ), runs AS (SELECT a.half, a.i AS j, b.i AS k, (SELECT sum(s) / sum(w) FROM pts c WHERE c.half = a.half AND c.i BETWEEN a.i AND b.i) AS m FROM pts a JOIN pts b ON a.half = b.half AND a.i <= b.i
+      ), low AS (SELECT q.half, q.i, r.j, min(r.m) AS m FROM pts q JOIN runs r ON r.half = q.half AND r.j <= q.i AND r.k >= q.i GROUP BY ALL
+      ), iso AS (SELECT half, i, x, (SELECT max(m) FROM low WHERE low.half = pts.half AND low.i = pts.i) AS v FROM pts
+      ), steps AS (SELECT half, x AS x1, v AS v1, lead(x) OVER w AS x2, lead(v) OVER w AS v2, min(x) OVER (PARTITION BY half) AS x0, max(x) OVER (PARTITION BY half) AS x9 FROM iso WINDOW w AS (PARTITION BY half ORDER BY x)
+      ) SELECT l_idx, r_idx, round(CASE WHEN x2 IS NULL OR p <= x1 THEN v1 ELSE v1 + (v2 - v1) * (p - x1) / (x2 - x1) END, 6) AS p
+        FROM lab JOIN steps ON steps.half <> lab.half AND (p >= x1 AND (x2 IS NULL OR p < x2) OR p < x0 AND x1 = x0)""",
+    "truth_report": f"""WITH {_RECORDS}, per AS (SELECT ids.l_idx, count(t.r_idx) AS n FROM ids LEFT JOIN truth t USING (l_idx) GROUP BY ids.l_idx
+      ) SELECT (SELECT round(avg((l.country IS DISTINCT FROM r.country)::INT), 6) FROM truth JOIN v l ON l.idx = l_idx JOIN v r ON r.idx = r_idx) AS across,
+        (SELECT count(*) FROM (SELECT r_idx FROM truth GROUP BY r_idx HAVING count(DISTINCT l_idx) > 1))::DOUBLE AS many_owners,
+        (SELECT round(avg((n = 0)::INT), 6) FROM per) AS singletons, (SELECT round(avg(n), 6) FROM per) AS mean_matches, (SELECT round(quantile_cont(n, 0.99), 6) FROM per) AS p99_matches""",
+    "truth_by_group": f"WITH {_RECORDS} SELECT country, source, count(*) AS n FROM truth JOIN v ON v.idx = r_idx GROUP BY country, source",
     "name_jaro_winkler": f"WITH {_PAIRS} SELECT l_idx, r_idx, round(CASE WHEN a.name_core = '' AND b.name_core = '' THEN 1.0 ELSE jaro_winkler_similarity(a.name_core, b.name_core) END, 6) AS jw FROM cands JOIN v a ON a.idx = l_idx JOIN v b ON b.idx = r_idx",
     "knn_embed": f"""WITH e AS (SELECT vec_id, label, {_VEC.format("embedding")} AS v FROM embeddings
       ), s AS (SELECT l.vec_id AS l_idx, r.vec_id AS r_idx, list_cosine_similarity(l.v, r.v) AS c FROM e l JOIN e r ON l.label = r.label WHERE l.vec_id % 2 = 0 AND r.vec_id % 2 = 1

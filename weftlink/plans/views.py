@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import similarity as S
 from ..functions import text
 from ..operators import blocking
+from ..sources import tables
 
 #: Pairs of a block at most.
-BLOCK_PAIRS = 600
+BLOCK_PAIRS = 5000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,15 +29,20 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """records with cleaned names, written once: for what needs no addresses."""
+    r = records(spark, sf_dir).drop("business_address")
+    return tables.written(r.withColumn("name_core", text.clean(F.col("business_name"))))
+
+
 def simple(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """records with normalized columns that SQL can state too: all of it stays in the JVM."""
-    address = text.clean(F.col("business_address"), any_script=False)
-    r = records(spark, sf_dir).withColumns({"name_core": text.clean(F.col("business_name"), any_script=False), "addr_norm": address})
-    return r.withColumns({
+    """records with normalized columns that SQL can state too, cleaned and written once, whatever number of branches reads them."""
+    r = records(spark, sf_dir).withColumns({"name_core": text.clean(F.col("business_name")), "addr_norm": text.clean(F.col("business_address"))})
+    return tables.written(r.withColumns({
         "postcode": F.regexp_extract("addr_norm", r"\b([0-9]{5})\b", 1), "house_no": F.regexp_extract("addr_norm", r"([0-9]+)", 1), "street_tok": F.regexp_extract("addr_norm", r"([a-z]{6,})", 1),
         "name_key": F.regexp_extract("name_core", r"^([a-z]+)", 1), "localities": F.array_join(F.regexp_extract_all("addr_norm", F.lit(r"[a-z]{7,}"), F.lit(0)), "|"),
         "num_tokens": S.numbers(F.col("addr_norm")),
-    })
+    }))
 
 
 def sides(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,6 +21,24 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in raw.columns])
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which executors share; one of our own only in a local session without that setting."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.weftlink.shared.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="weftlink-")
+        spark.conf.set("spark.weftlink.shared.dir", found)
+    return found.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, read again: what several branches of a plan need is made once."""
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def raw_path(cfg: dict, split: str, name: str, scratch: str) -> str:
     """Where a raw file can be read: raw_dir first, else taken out of raw_zip into scratch (Spark reads no zip)."""
     paths = cfg.get("paths", cfg)
@@ -35,7 +55,7 @@ def raw_path(cfg: dict, split: str, name: str, scratch: str) -> str:
 
 def numbered(df: DataFrame, order: list[str]) -> DataFrame:
     """df with idx 0..n-1 in the given order, numbered by range partitions from the counts before them."""
-    dealt = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()).persist()
+    dealt = written(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
     counts = dealt.groupBy("__part").agg(F.count("*").alias("n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
