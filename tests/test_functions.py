@@ -97,6 +97,11 @@ def test_ratios():
             for at in range(1 - len(s), len(t)) if a and b else ():
                 best = max(best, S.ratio(s, t[max(at, 0) : at + len(s)]))
         assert S.partial_ratio(a, b) == pytest.approx(best)
+    words = ["", "a", "ab ba", "x y z", "long " * 30, "gnol " * 40, "é ü", "ab"]
+    left = [r.choice(words) + "".join(r.choice("ab c") for _ in range(r.randint(0, 70))) for _ in range(400)]
+    right = [r.choice(words) + "".join(r.choice("ab c") for _ in range(r.randint(0, 90))) for _ in range(400)]
+    for batch, one in ((S.ratios, S.ratio), (S.token_sort_ratios, S.token_sort_ratio), (S.token_set_ratios, S.token_set_ratio)):
+        assert batch(left, right).tolist() == pytest.approx([one(x, y) for x, y in zip(left, right)]) and len(batch([], [])) == 0
     assert S.ratio("", "") == 100 and S.token_sort_ratio("b a", "a b") == 100 and S.token_set_ratio("a b", "a b c") == 100 and S.token_set_ratio("", "a") == 0
     assert S.jaro_winkler("martha", "marhta") == pytest.approx(0.961111, abs=1e-6) and S.jaro_winkler("", "") == 1 and S.jaro_winkler("a", "") == 0
 

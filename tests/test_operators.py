@@ -1,5 +1,6 @@
 """Blocking, features, decisions, metrics, lexicon, folds and tables on literals."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +155,46 @@ def test_config(tmp_path, monkeypatch):
     old.mkdir(parents=True)
     (old / "x").write_text("1")
     assert config.read_path(cfg, "train", "x") == str(old / "x")
+
+
+def test_indexed_neighbours(spark):
+    """An index of cells finds nine in ten of the exact neighbours at least, and all of them when every cell is looked into."""
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal((40, 24))
+    v = centre[rng.integers(40, size=1500)] + 0.6 * rng.standard_normal((1500, 24))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, "ab"[i % 7 == 0], x.tolist()) for i, x in enumerate(v)], "idx long, country string, vector array<double>")
+    l, r = df.where("idx % 2 = 0"), df.where("idx % 2 = 1")
+    key = lambda x: {(q.l_idx, q.r_idx) for q in x.collect()}
+    exact = key(blocking.vector_candidates(l, r, 5, 0 + 1))
+    some = key(blocking.indexed_vector_candidates(l, r, 5, 1, cells=32, probes=8))
+    forward = {(a, b) for a, b in exact}
+    assert len(forward & some) >= 0.9 * len(forward)
+    assert key(blocking.indexed_vector_candidates(l, r, 5, 1, cells=16, probes=16)) == exact
+    assert blocking.indexed_vector_candidates(l, r.where("false"), 5, 1).count() == 0
+
+
+def test_validate_files(spark, tmp_path, capsys):
+    def write(name, head, rows):
+        (tmp_path / name).write_text("\t".join(head) + "\n" + "".join("\t".join(r) + "\n" for r in rows))
+        return str(tmp_path / name)
+
+    ids = write("left.tsv", ["entity_id", "business_name", "business_address", "country"], [(f"S1-{i}", "n", "a", "c") for i in range(3)])
+    good = [("S1-0", "S2-4,S3-1"), ("S1-1", ""), ("S1-2", "S2-9")]
+    matches = write("m.tsv", ["source1_entity_id", "matched_entity_ids"], good)
+    cands = write("c.tsv", ["source1_entity_id", "candidate_entity_ids"], [("S1-0", "S2-4,S2-5,S3-1"), ("S1-1", "S2-7"), ("S1-2", "S2-9")])
+    assert metrics.validate_files(spark, matches, cands, ids) == 0 and capsys.readouterr().out == ""
+    broken = [
+        write("h.tsv", ["source1_entity_id", "matches"], good), write("x.tsv", ["source1_entity_id", "matched_entity_ids"], good[:2]),
+        write("t.tsv", ["source1_entity_id", "matched_entity_ids"], [("S1-0", "S2-4,S2-4"), *good[1:]]), write("o.tsv", ["source1_entity_id", "matched_entity_ids"], [("S1-0", "S2-8"), *good[1:]]),
+    ]
+    for path in broken:
+        assert metrics.validate_files(spark, path, cands, ids) == 1 and capsys.readouterr().out
+
+
+def test_truth_report(spark):
+    truth = spark.createDataFrame([(0, 10), (0, 11), (1, 11), (2, 12)], "l_idx long, r_idx long")
+    left = spark.createDataFrame([(i, "x" if i else "y") for i in range(5)], "idx long, country string")
+    right = spark.createDataFrame([(10, "y"), (11, "x"), (12, None)], "idx long, country string")
+    got = metrics.truth_report(truth, left, right).first()
+    assert (got.across, got.many_owners, got.singletons, got.mean_matches, got.p99_matches) == (0.5, 1, 0.4, 0.8, pytest.approx(1.96))

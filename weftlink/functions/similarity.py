@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Pairs of a batch whose tables are computed together.
+SIDE_BY_SIDE = 8192
+
 
 def tri_equal(a: Column, b: Column) -> Column:
     """-1 if either is empty, 1 if equal, 0 if they conflict."""
@@ -142,21 +146,78 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro) if jaro > 0.7 else jaro
 
 
+def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
+    """lcs_length of many pairs, side by side: a row of each pair's table is one 64-bit number.
+
+    Pairs whose shorter string has more than 64 letters are done one by one.
+    """
+    pairs = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(a, b)]
+    out = np.zeros(len(pairs), np.int64)
+    fits = [i for i, (x, _) in enumerate(pairs) if 0 < len(x) <= 64]
+    for i, (x, y) in enumerate(pairs):
+        if len(x) > 64:
+            out[i] = lcs_length(x, y)
+    fits.sort(key=lambda i: len(pairs[i][1]))
+    for at in range(0, len(fits), SIDE_BY_SIDE):
+        some = np.array(fits[at : at + SIDE_BY_SIDE])
+        width = max(len(pairs[i][1]) for i in some)
+        s = np.array([pairs[i][0] for i in some], "U64").view(np.uint32).reshape(len(some), 64)
+        t = np.array([pairs[i][1] for i in some], f"U{width}").view(np.uint32).reshape(len(some), width)
+        row = np.full(len(some), ~np.uint64(0))
+        for j in range(width):
+            match = np.packbits(s == t[:, j : j + 1], axis=1, bitorder="little").view(np.uint64)[:, 0] & row
+            row = (row + match) | (row - match)
+        size = np.array([len(pairs[i][0]) for i in some], np.uint64)
+        out[some] = np.bitwise_count(~row & (~np.uint64(0) >> (np.uint64(64) - size)))
+    return out
+
+
+def ratios(a: list[str], b: list[str]) -> np.ndarray:
+    size = np.array([len(x) + len(y) for x, y in zip(a, b)], np.float64)
+    return np.where(size > 0, 200.0 * lcs_lengths(a, b) / np.maximum(size, 1), 100.0)
+
+
+def token_sort_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    return ratios([" ".join(sorted(x.split())) for x in a], [" ".join(sorted(x.split())) for x in b])
+
+
+def token_set_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    """token_set_ratio of many pairs: the strings that it compares are made first and compared together."""
+    out, at, left, right = np.zeros(len(a)), [], [], []
+    for i, (p, q) in enumerate(zip(a, b)):
+        x, y = set(p.split()), set(q.split())
+        if not x or not y:
+            continue
+        both, only_x, only_y = (" ".join(sorted(w)) for w in (x & y, x - y, y - x))
+        if both and (not only_x or not only_y):
+            out[i] = 100.0
+            continue
+        with_x, with_y = f"{both} {only_x}".strip(), f"{both} {only_y}".strip()
+        for s, t in ((with_x, with_y), (both, with_x), (both, with_y)) if both else ((with_x, with_y),):
+            at.append(i)
+            left.append(s)
+            right.append(t)
+    np.maximum.at(out, np.array(at, np.int64), ratios(left, right))
+    return out
+
+
+def _one_by_one(scorer):
+    return lambda a, b: np.array([scorer(x, y) for x, y in zip(a, b)], np.float64)
+
+
 def _arrow(scorer):
     def score(a: pd.Series, b: pd.Series) -> pd.Series:
-        seen: dict[tuple[str, str], float] = {}
-        out = []
-        for p in zip(a.fillna(""), b.fillna("")):
-            if p not in seen:
-                seen[p] = scorer(*p)
-            out.append(seen[p])
-        return pd.Series(out, dtype="float64")
+        pairs = list(zip(a.fillna(""), b.fillna("")))
+        distinct = list(dict.fromkeys(pairs))
+        found = scorer([x for x, _ in distinct], [y for _, y in distinct])
+        value = dict(zip(distinct, found))
+        return pd.Series([value[p] for p in pairs], dtype="float64")
 
     return F.pandas_udf(score, T.DoubleType())
 
 
-#: Scorers of two columns; null counts as empty. A batch computes equal pairs once.
-SCORERS = {"ratio": ratio, "partial_ratio": partial_ratio, "token_sort_ratio": token_sort_ratio, "token_set_ratio": token_set_ratio, "jaro_winkler": jaro_winkler}
+#: Scorers of two lists; null counts as empty. A batch computes equal pairs once.
+SCORERS = {"ratio": ratios, "partial_ratio": _one_by_one(partial_ratio), "token_sort_ratio": token_sort_ratios, "token_set_ratio": token_set_ratios, "jaro_winkler": _one_by_one(jaro_winkler)}
 
 
 def similarity(name: str, a: Column, b: Column) -> Column:

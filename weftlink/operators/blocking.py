@@ -115,6 +115,12 @@ def tfidf_candidates(
     return ranked.where((F.col("__f") <= k_forward) | (F.col("__r") <= k_reverse)).drop("__f", "__r")
 
 
+def map_product(a: Column, b: Column) -> Column:
+    """Sum of the products of the values that two maps have under equal keys."""
+    common = F.array_intersect(F.map_keys(a), F.map_keys(b))
+    return F.aggregate(common, F.lit(0.0), lambda acc, k: acc + F.element_at(a, k) * F.element_at(b, k))
+
+
 def merge_candidates(frames: list[DataFrame]) -> DataFrame:
     """One row for each pair with its best scores: 0.0 and false where a source does not have it."""
     every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -175,3 +181,46 @@ def vector_candidates(left: DataFrame, right: DataFrame, k_forward: int = 30, k_
     reverse = Window.partitionBy("r_idx").orderBy(F.round(score, 9).desc(), "l_idx")
     ranked = found.withColumn("__f", F.row_number().over(forward)).withColumn("__r", F.row_number().over(reverse))
     return ranked.where((F.col("__f") <= k_forward) | (F.col("__r") <= k_reverse)).drop("__f", "__r")
+
+
+def indexed_vector_candidates(
+    left: DataFrame, right: DataFrame, k_forward: int = 30, k_reverse: int = 3, score: str = "embed_cos", cells: int = 256, probes: int = 16, rows_per_cell: int = 64, seed: int = 7
+) -> DataFrame:
+    """vector_candidates over an index of cells: each right record is in the cell of its nearest centre, each left one looks into `probes` cells.
+
+    Centres come from a hash sample of at most cells * rows_per_cell right vectors by a few
+    rounds of spherical k-means on the driver; they are `cells` vectors, whatever the input.
+    Every record is indexed. Work is about probes / cells of the exact search's; cells of
+    many records are compared block by block as countries are there. With probes = cells
+    the result is exact.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    drawn = right.orderBy(F.xxhash64(F.lit(seed), "idx"), "idx").limit(cells * rows_per_cell).select("vector").collect()  # bounded by the parameters
+    if not drawn:
+        return vector_candidates(left, right, k_forward, k_reverse, score)
+    sample = np.array([r["vector"] for r in drawn], np.float64)
+    centres = sample[: min(cells, len(sample))]
+    for _ in range(8):
+        nearest = np.argmax(sample @ centres.T, axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, sample)
+        size = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(size > 0, sums / np.maximum(size, 1e-300), centres)
+    n = len(centres)
+
+    def near(df: DataFrame, most: int) -> DataFrame:
+        def assign(batches):
+            for batch in batches:
+                v = np.array(batch.column(2).to_pylist(), np.float64).reshape(len(batch), -1)
+                order = np.argsort(-(v @ centres.T), axis=1, kind="stable")[:, :most].astype(np.int32)
+                at = pa.array(np.repeat(np.arange(len(batch)), order.shape[1]))
+                yield pa.RecordBatch.from_arrays([*[c.take(at) for c in batch.columns], pa.array(order.ravel())], names=["idx", "country", "vector", "cell"])
+
+        kind = df.schema["idx"].dataType.simpleString()
+        rows = df.select("idx", F.col("country").cast("string").alias("country"), F.col("vector").cast("array<double>").alias("vector"))
+        out = rows.mapInArrow(assign, f"idx {kind}, country string, vector array<double>, cell int")
+        return out.select("idx", F.concat_ws("/", F.coalesce("country", F.lit("")), F.col("cell").cast("string")).alias("country"), "vector")
+
+    return vector_candidates(near(left, min(probes, n)), near(right, 1), k_forward, k_reverse, score)
