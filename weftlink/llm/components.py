@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 from . import storage
 
 
-def _star(pairs: DataFrame) -> DataFrame:
-    """For (u, v) rows the least of u and its v, beside each row."""
+#: From so many edges on, minima are written before they are joined, so that the join of a hot centre can be split.
+MANY = 1_000_000
+
+
+def _star(pairs: DataFrame, many: bool) -> tuple[DataFrame, DataFrame | None]:
+    """For (u, v) rows the least of u and its v, beside each row; and the table to drop afterwards, if there is one."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
-    return pairs.join(least, pairs["u"] == F.col("c")).drop("c")
+    made = storage.cut(least, "least") if many else None
+    return pairs.join(least if made is None else made, F.col("u") == F.col("c")).drop("c"), made
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -21,8 +26,9 @@ def connected(edges: DataFrame) -> DataFrame:
     neighbours, then the smaller; the rows never outnumber the edges, and a round that
     changes nothing ends the loop (about log of the longest path). Minima are taken in
     partial aggregates, so a centre with most of the edges is no hot group; the join back
-    is a plain equality join that adaptive execution can split. Every round is written to
-    the shared folder. Loops and null ends are ignored; without edges the result is empty.
+    is a plain equality join, between plain exchanges where edges are many, which adaptive
+    execution can split. Every round is written to the shared folder. Loops and null ends
+    are ignored; without edges the result is empty.
     """
     now = storage.cut(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
@@ -33,12 +39,18 @@ def connected(edges: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
+        many = state[0] > MANY
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        small = _star(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+        wide, first = _star(both, many)
+        large = wide.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        turned = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        turned = storage.cut(turned, "edges") if many else turned
+        small, second = _star(turned, many)
         moved = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = storage.cut(moved.unionByName(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        storage.drop_cut(now)
+        for x in (now, first, second, turned if many else None):
+            if x is not None:
+                storage.drop_cut(x)
         now = after
     out = now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component").unionByName(
         now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()

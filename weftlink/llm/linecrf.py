@@ -16,6 +16,8 @@ from . import storage
 
 #: Documents whose lines fit the model: so many labelled ones, those with the smallest hashes of their ids.
 TRAIN_DOCS = 3000
+#: Documents of more lines are not among them, so that what the driver gathers is bounded; all are scored.
+TRAIN_LINES = 2000
 #: Steps of gradient ascent and strength of the quadratic penalty.
 STEPS = 150
 PENALTY = 1e-3
@@ -175,18 +177,24 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
-    """At most `most` labelled documents outside the held-out third, chosen by a hash of their ids."""
+    """At most `most` labelled documents outside the held-out third, chosen by a hash of their ids, ties by id; without those of over TRAIN_LINES lines."""
     picked = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("quality").alias("quality"))
         .orderBy(F.xxhash64(F.lit(17), "doc_id"), "doc_id").limit(most)
     )
     # at most `most` ids and labels: bounded by the parameter
-    return docs.join(F.broadcast(picked), "doc_id")
+    return docs.join(F.broadcast(picked), "doc_id").where(F.coalesce(F.regexp_count("text", F.lit("\n")), F.lit(0)) < TRAIN_LINES)
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Chain:
-    """Fit the chain on the line features of the training rows; the driver holds these features only."""
+    """Fit the chain on the line features of the training rows; the driver holds these features only.
+
+    Defined cases: labels without an id or a quality do not count; of several labels of one
+    id the largest does; a null text is one blank line; rows that share an id are all
+    learned from; without a training row all weights are 0 and every score is 0.5; other
+    columns are not read.
+    """
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,8 +223,9 @@ def score_documents(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_
     """doc_id and score: the mean of its lines' probabilities of 'good', weighted by their bytes in words.
 
     One scan with an Arrow map. Null and empty texts are one blank line and get that
-    line's probability; a text without words weighs its lines alike; repeated rows and
-    null ids are scored each for itself; an empty table gives an empty result.
+    line's probability; a text without words weighs its lines alike; a very long text is
+    scored whole, in a batch of its own; repeated rows and null ids are scored each for
+    itself, equal texts alike; an empty table gives an empty result.
     """
     weights, moves = chain.weights, chain.moves
 
@@ -235,7 +244,11 @@ def score_documents(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_
 
 
 def keep_good(docs: DataFrame, chain: Chain, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of docs that score_documents gives `least` or more, with all their columns, in one scan."""
+    """The rows of docs that score_documents gives `least` or more, with all their columns, in one scan.
+
+    A score equal to `least` is kept; other cases as in score_documents. Columns are found
+    by place, so their names do not matter.
+    """
     weights, moves = chain.weights, chain.moves
     at = docs.columns.index(text_col)
 

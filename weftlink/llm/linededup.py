@@ -105,7 +105,8 @@ def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = MAX_EDI
 
     heavy (id, id2, first), if given, names lines of which the first place alone is looked
     up; it is broadcast, so its rows must be bounded. Every edit within reach is found,
-    but edges inside a class that others join already are left out.
+    but edges inside a class that others join already are left out. Null and empty texts
+    and an empty table give empty tables; repeated rows and lines change nothing.
     """
     if min_chars < 3 * (edits + 1):
         raise ValueError("lines need three characters a segment")

@@ -91,8 +91,9 @@ def mix_sources(
 
     Defined cases: null text has size 0; a null source is a source of its own, after all
     others; a source without words has target and rate 0, so its documents get no copy;
-    a null id draws as the text 'null'; repeated rows with one id draw alike; an empty
-    table gives an empty result; other columns of docs are not read.
+    a null id draws as the text 'null'; repeated rows with one id draw alike; a very long
+    text is counted whole and weighs all its words; a draw equal to the fraction gives no
+    copy; an empty table gives an empty result; other columns of docs are not read.
     """
     sized = storage.cut(
         docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes"
@@ -123,14 +124,14 @@ def mixed_documents(
 
     Sizes are summed by source in one scan; the second scan gets each source's rate and
     repeats its rows by exploding a sequence of at most ceil(max_rate) numbers, so texts
-    are not dealt out. Cases as in mix_sources.
+    are not dealt out. Columns may have any names. Cases as in mix_sources.
     """
     sizes = docs.groupBy(F.col(source_col).alias("source")).agg(F.sum(word_count(F.col(text_col))).alias("source_size"))
     targets = source_targets(storage.cut(sizes, "sizes"), weights, max_rate)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    t = storage.small(storage.cut(targets.select(F.col("source").alias("__s"), rate.alias("__rate")), "rates"), 64)
-    joined = docs.join(t, docs[source_col].eqNullSafe(t["__s"]))
-    extra = unit_hash(seed, docs[id_col]) < F.col("__rate") - F.floor("__rate")
-    copies = (F.floor("__rate") + extra.cast("long")).cast("int")
-    taken = joined.withColumn("__copies", copies).where(F.col("__copies") > 0)
-    return taken.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[docs[c] for c in docs.columns])
+    name, share, copies, k = storage.free_names(docs, 4)
+    t = storage.small(storage.cut(targets.select(F.col("source").alias(name), rate.alias(share)), "rates"), 64)
+    joined = docs.join(t, docs[source_col].eqNullSafe(t[name]))
+    extra = unit_hash(seed, docs[id_col]) < t[share] - F.floor(t[share])
+    taken = joined.withColumn(copies, (F.floor(t[share]) + extra.cast("long")).cast("int")).where(F.col(copies) > 0)
+    return taken.withColumn(k, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*[docs[c] for c in docs.columns])

@@ -84,7 +84,47 @@ QUERIES = {
     "op4_mix_sources": op4_mix_sources,
 }
 
+_COUNTED = "aeionrstld"
+_CLOSE = " + ".join(f"abs(a.c{i} - b.c{i})" for i in range(len(_COUNTED)))
+
 SQL = {
+    # letter counts of lines within two edits differ by four at most in all; the rest is compared by brute force
+    "op5_line_dedup": f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents
+), l AS (
+  SELECT doc_id, pos, line FROM (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS pos FROM d)
+  WHERE length(line) >= 9 OR regexp_matches(line, '[^ \\t\\n\\x0B\\f\\r]')
+), u AS (
+  SELECT line, length(line) AS n, {", ".join(f"length(line) - length(replace(line, '{c}', '')) AS c{i}" for i, c in enumerate(_COUNTED))}
+  FROM (SELECT DISTINCT line FROM l WHERE length(line) >= 9)
+), near AS (
+  SELECT a.line AS x, b.line AS y FROM u a JOIN u b ON b.n BETWEEN a.n AND a.n + 2 AND a.line <> b.line AND {_CLOSE} <= 4 WHERE levenshtein(a.line, b.line) <= 2
+), links AS (
+  SELECT x, y FROM near UNION SELECT y, x FROM near
+), reach AS (
+  SELECT x AS line, x AS r FROM links UNION SELECT reach.line, links.y FROM reach JOIN links ON links.x = reach.r
+), class AS (
+  SELECT line, min(r) AS class FROM reach GROUP BY line
+), placed AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY coalesce(class, l.line) ORDER BY doc_id, pos) AS k FROM l LEFT JOIN class ON class.line = l.line
+), gone AS (
+  SELECT doc_id, count(*) AS n, string_agg(pos::VARCHAR, ',' ORDER BY pos) AS removed FROM placed WHERE k > 1 GROUP BY doc_id
+)
+SELECT doc_id, coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_removed, coalesce(removed, '') AS removed FROM d LEFT JOIN gone USING (doc_id)
+""",
+    "op6_projection_forest": """
+WITH RECURSIVE e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+  SELECT vec_id, vec_id AS r FROM e UNION SELECT reach.vec_id, links.y FROM reach JOIN links ON links.x = reach.r
+), least AS (
+  SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE x = vec_id)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM least
+""",
     "op1_warc": """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
