@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftlink.operators import blocking, decide, features, lexicon, metrics, model, split
-from weftlink.plans import config
+from weftlink.plans import config, sessions
 from weftlink.sources import tables
 
 
@@ -197,4 +197,30 @@ def test_truth_report(spark):
     left = spark.createDataFrame([(i, "x" if i else "y") for i in range(5)], "idx long, country string")
     right = spark.createDataFrame([(10, "y"), (11, "x"), (12, None)], "idx long, country string")
     got = metrics.truth_report(truth, left, right).first()
-    assert (got.across, got.many_owners, got.singletons, got.mean_matches, got.p99_matches) == (0.5, 1, 0.4, 0.8, pytest.approx(1.96))
+    assert (got.across, got.many_owners, got.singletons, got.mean_matches, got.p99_matches) == (0.5, 1, 0.4, 0.8, 2)
+
+
+def test_weights_fitted_on_a_sample(spark):
+    """Terms and their rarity come from the sample only; all records get weights, unit vectors of the terms that it knows."""
+    docs = spark.createDataFrame([(0, "ab cd"), (1, "ab ef"), (2, "ef gh"), (3, "zz")], "idx long, t string")
+    grams = blocking.word_grams(F.col("t"))
+    fit = docs.where("idx < 2")
+    got = {(r.idx, r.gram): r.w for r in blocking.tfidf_weights(docs, grams, [], ["idx"], fit=fit).collect()}
+    assert set(got) == {(0, "ab"), (0, "cd"), (1, "ab"), (1, "ef"), (2, "ef")} and got[2, "ef"] == pytest.approx(1)
+    common, rare = 1 + np.log(3 / 3), 1 + np.log(3 / 2)
+    assert got[0, "ab"] == pytest.approx(common / np.hypot(common, rare))
+    l, r = docs.where("idx < 2").withColumnRenamed("t", "name_core").withColumn("addr_norm", F.lit("")), docs.where("idx >= 2").withColumnRenamed("t", "name_core").withColumn("addr_norm", F.lit(""))
+    alone = docs.withColumn("kind", F.lit("k")).where("idx <> 1")
+    assert blocking.tfidf_weights(alone, grams, ["kind"], ["idx"], 2, or_all=True).count() == 5 and blocking.tfidf_weights(alone, grams, ["kind"], ["idx"], 2).count() == 0
+    whole = [sorted(map(str, x.collect())) for x in features.record_vectors(l, r)]
+    assert [sorted(map(str, x.collect())) for x in features.record_vectors(l, r, 100)] == whole
+
+
+def test_sessions(tmp_path):
+    calls = []
+    sessions.run("second", "run.yaml", ["a/work", "b/work"], ["decide.one_owner=false"], start=lambda command: calls.append(command))
+    assert [c[c.index("--stage") + 1] for c in calls] == ["features", "features", "train", "evaluate", "predict", "submit"]
+    assert all("prev_work_dirs=[a/work,b/work]" in c and "decide.one_owner=false" in c for c in calls)
+    assert [s for s, _ in sessions.SESSIONS["first"]][:4] == ["ingest", "ingest", "split", "lexicon"]
+    with pytest.raises(KeyError):
+        sessions.run("third", "run.yaml", start=calls.append)

@@ -70,21 +70,27 @@ def char_grams(c: Column, n: int = 3) -> Column:
 
 
 def word_grams(c: Column) -> Column:
-    """Words of two characters at least."""
-    return F.filter(F.split(F.lower(c), r"[^a-z0-9_]+"), lambda w: F.length(w) >= 2)
+    """Words as they stand between white space."""
+    return F.filter(F.split(c, r"\s+"), lambda w: w != "")
 
 
-def tfidf_weights(docs: DataFrame, grams: Column, by: list[str], ids: list[str], min_df: int = 1, max_df: float = 1.0) -> DataFrame:
+def tfidf_weights(docs: DataFrame, grams: Column, by: list[str], ids: list[str], min_df: int = 1, max_df: float = 1.0, fit: DataFrame | None = None, or_all: bool = False) -> DataFrame:
     """(by, ids, gram, w): L2-normed weights (1 + ln tf) * (1 + ln((1 + N) / (1 + df))) inside each group.
 
     Grams in fewer than min_df or more than max_df * N documents do not count; a group
-    whose max_df * N is under min_df has none.
+    whose max_df * N is under min_df has none. N and df are those of fit, some of docs, if
+    it is given, else of docs; grams that fit lacks do not count. With or_all a group in
+    which no gram comes min_df times has all its grams.
     """
     tf = docs.select(*by, *ids, F.explode(grams).alias("gram")).groupBy(*by, *ids, "gram").agg(F.count("*").alias("tf"))
-    df = tf.groupBy(*by, "gram").agg(F.count("*").alias("df"))
-    total = docs.groupBy(*by).agg(F.count("*").alias("n"))
+    seen = tf if fit is None else fit.select(*by, *ids, F.explode(grams).alias("gram")).distinct()
+    df = seen.groupBy(*by, "gram").agg(F.count("*").alias("df"))
+    total = (docs if fit is None else fit).groupBy(*by).agg(F.count("*").alias("n"))
     fine = df.join(F.broadcast(total) if not by else total, by) if by else df.crossJoin(F.broadcast(total))  # one row without groups
     fine = fine.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * F.col("n")) & (F.lit(max_df) * F.col("n") >= min_df))
+    if or_all:
+        top = df.groupBy(*by).agg(F.max("df").alias("top")).where(F.col("top") < min_df).select(*by)
+        fine = fine.unionByName(df.join(total, by).join(top, by, "left_semi"))
     idf = fine.select(*by, "gram", (1 + F.log((1 + F.col("n")) / (1 + F.col("df")))).alias("idf"))
     raw = tf.join(idf, [*by, "gram"]).select(*by, *ids, "gram", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*by, *ids)))

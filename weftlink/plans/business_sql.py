@@ -158,7 +158,7 @@ _PAIRS = f"""pr AS (
 
 def _cosine(name: str, col: str, grams: str) -> str:
     return f"""{name}_g AS (SELECT idx, gram, count(*) AS tf FROM (SELECT idx, unnest({grams}) AS gram FROM (SELECT idx, unnest(string_split({col}, ' ')) AS w FROM nrm) WHERE w <> '') GROUP BY ALL
-), {name}_w AS (SELECT idx, gram, (1 + ln(tf)) * (1 + ln((1 + (SELECT count(*) FROM nrm)) / (1 + count(*) OVER (PARTITION BY gram)))) AS w FROM {name}_g
+), {name}_w AS (SELECT idx, gram, (1 + ln(tf)) * (1 + ln((1 + (SELECT count(*) FROM nrm)) / (1 + df))) AS w FROM (SELECT *, count(*) OVER (PARTITION BY gram) AS df FROM {name}_g) WHERE df >= 2
 ), {name}_n AS (SELECT idx, gram, w / sqrt(sum(w * w) OVER (PARTITION BY idx)) AS w FROM {name}_w
 ), {name} AS (SELECT l_idx, r_idx, sum(a.w * b.w) AS v FROM pr JOIN {name}_n a ON a.idx = l_idx JOIN {name}_n b ON b.idx = r_idx AND a.gram = b.gram GROUP BY ALL
 )"""
@@ -189,7 +189,7 @@ FEATURES = f"""WITH {RECORDS}, {_PAIRS}, c1 AS (
   SELECT c1.*, o.r_name_core AS o_name, o.r_addr_norm AS o_addr
   FROM c1 LEFT JOIN (SELECT l_idx, r_name_core, r_addr_norm, rank_l AS k FROM c1) o ON o.l_idx = c1.l_idx AND o.k = CASE WHEN c1.rank_l = 1 THEN 2 ELSE 1 END
 ), {ratios(_union(_SETS), _union(_RATIOS), _union(_PARTIALS))}, {_cosine("cc", "name_core", "list_transform(range(1, greatest(length(w), 1) + 1), lambda i: substr(' ' || w || ' ', i, 3))")},
-{_cosine("cw", "name_core", "CASE WHEN length(w) >= 2 THEN [w] ELSE [] END")}, {_cosine("ca", "addr_norm", "CASE WHEN length(w) >= 2 THEN [w] ELSE [] END")}
+{_cosine("cw", "name_core", "[w]")}, {_cosine("ca", "addr_norm", "[w]")}
 SELECT cx.l_idx, cx.r_idx, CASE WHEN p >= 0.1 THEN p ELSE 0.0 END AS tfidf_name, 0.0::DOUBLE AS tfidf_name_addr, 0.0::DOUBLE AS embed_cos, 1 AS from_keys,
   round(CASE WHEN l_name_core = '' AND r_name_core = '' THEN 1.0 ELSE jaro_winkler_similarity(l_name_core, r_name_core) END, 6) AS name_jw,
   {_value("tset", *_SETS[0])} AS name_tset, {_value("tset", *_SETS[1])} AS addr_tset, {_tri("l_postcode", "r_postcode")} AS postcode_eq, {_tri("l_house_no", "r_house_no")} AS house_eq, (source = 'S3')::INT AS source_s3,

@@ -464,7 +464,7 @@ SQL = {
     "truth_report": f"""WITH {_RECORDS}, per AS (SELECT ids.l_idx, count(t.r_idx) AS n FROM ids LEFT JOIN truth t USING (l_idx) GROUP BY ids.l_idx
       ) SELECT (SELECT round(avg((l.country IS DISTINCT FROM r.country)::INT), 6) FROM truth JOIN v l ON l.idx = l_idx JOIN v r ON r.idx = r_idx) AS across,
         (SELECT count(*) FROM (SELECT r_idx FROM truth GROUP BY r_idx HAVING count(DISTINCT l_idx) > 1))::DOUBLE AS many_owners,
-        (SELECT round(avg((n = 0)::INT), 6) FROM per) AS singletons, (SELECT round(avg(n), 6) FROM per) AS mean_matches, (SELECT round(quantile_cont(n, 0.99), 6) FROM per) AS p99_matches""",
+        (SELECT round(avg((n = 0)::INT), 6) FROM per) AS singletons, (SELECT round(avg(n), 6) FROM per) AS mean_matches, (SELECT list_sort(list(n))[floor(0.99 * (count(*) - 1) + 0.5)::INT + 1]::DOUBLE FROM per) AS p99_matches""",
     "truth_by_group": f"WITH {_RECORDS} SELECT country, source, count(*) AS n FROM truth JOIN v ON v.idx = r_idx GROUP BY country, source",
     "name_jaro_winkler": f"WITH {_PAIRS} SELECT l_idx, r_idx, round(CASE WHEN a.name_core = '' AND b.name_core = '' THEN 1.0 ELSE jaro_winkler_similarity(a.name_core, b.name_core) END, 6) AS jw FROM cands JOIN v a ON a.idx = l_idx JOIN v b ON b.idx = r_idx",
     "knn_embed": f"""WITH e AS (SELECT vec_id, label, {_VEC.format("embedding")} AS v FROM embeddings
