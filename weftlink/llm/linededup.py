@@ -218,7 +218,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     names = storage.free_names(docs, 3)
     v = line_verdicts(own, min_chars, edits).select(*[F.col(c).alias(n) for c, n in zip(("doc_id", "th", "gone"), names)])
     vd, vt, gone = (v[n] for n in names)
-    joined = docs.join(v, docs[id_col].cast("long").eqNullSafe(vd) & (F.xxhash64(docs[text_col].cast("string")) == vt), "left")
+    # texts are dealt by their key but not sorted, at every size alike
+    joined = docs.join(v.hint("shuffle_hash"), docs[id_col].cast("long").eqNullSafe(vd) & (F.xxhash64(docs[text_col].cast("string")) == vt), "left")
     left = F.array_join(F.filter(F.split(docs[text_col], "\n", -1), lambda x, i: ~F.array_contains(gone, i)), "\n")
     kept = F.when(gone.isNull(), docs[text_col]).otherwise(left)
     return joined.where(gone.isNull() | kept.rlike(r"\S")).select(*[kept.alias(c) if c == text_col else docs[c] for c in docs.columns])
