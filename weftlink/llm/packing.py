@@ -153,44 +153,37 @@ def best_fit_places(spark: SparkSession, totals: dict[int, int], seq_len: int, b
     gaps = spark.range(opened).mapInArrow(opens, _STATE).where("size > 0")
     units = _units(spark, {n: c for n, c in totals.items() if n not in alone}, min(bundle, seq_len // 2))
     done = [spark.createDataFrame([(n, 0, c, base[n], -1) for n, c in alone.items()], width)]  # offset -1: each opens a sequence
-    state = storage.cut(gaps.unionByName(units), "state")
-    while True:
-        n_units, n_gaps, least, most, longest, bundled = state.agg(
-            F.count_if("unit"), F.count_if(~F.col("unit")), F.min(F.when(F.col("unit"), F.col("size"))), F.max(F.when(F.col("unit"), F.col("size"))), F.max(F.when(F.col("unit"), F.col("a"))), F.coalesce(F.max("m"), F.lit(0))
-        ).first()
-        if not n_units:
-            storage.drop_cut(state)
-            break
-        tasks = max(1, min((n_units + n_gaps) // ROUND_ROWS + 1, 10_000))
-        here = sweep(state.where(F.col("unit") | (F.col("size") >= least)), tasks)
-        storage.drop_cut(state)
-        placed = here.where("unit AND by IS NOT NULL").select(F.col("a").alias("length"), F.col("b").alias("rank"), "m", F.col("by").alias("sequence_id"), (F.lit(seq_len) - F.col("by_size")).alias("offset"))
-        waiting = here.where("unit AND by IS NULL").select("size", "unit", "a", "b", "m")
-        open_ = here.where("NOT unit").withColumn("size", F.col("size") - F.coalesce("by_size", F.lit(0))).where("size > 0").select("size", "unit", "a", "b", "m")
-        n_placed = placed.count()
-        if n_placed:
-            done.append(storage.cut(placed, "places"))
-        if n_placed * FEW > n_units:
-            state = storage.cut(open_.unionByName(waiting), "state")
-        elif bundled > 1:
+    fields = ["size", "unit", "a", "b", "m"]
+
+    def counted(state: DataFrame) -> list[int]:
+        unit = lambda c: F.when(F.col("unit"), F.col(c))
+        return list(state.agg(F.count("*"), F.count_if("unit"), F.min(unit("size")), F.max(unit("a")), F.max(unit("m"))).first())
+
+    state = gaps.unionByName(units)
+    n, n_units, least, longest, bundled = counted(state)
+    while n_units:
+        here = sweep(state.where(F.col("unit") | (F.col("size") >= least)), max(1, min(n // ROUND_ROWS + 1, 10_000)))
+        done.append(here.where("unit AND by IS NOT NULL").select(F.col("a").alias("length"), F.col("b").alias("rank"), "m", F.col("by").alias("sequence_id"), (F.lit(seq_len) - F.col("by_size")).alias("offset")))
+        waiting = here.where("unit AND by IS NULL").select(*fields)
+        open_ = here.where("NOT unit").withColumn("size", F.col("size") - F.coalesce("by_size", F.lit(0))).where("size > 0").select(*fields)
+        n_before, state = n_units, open_.unionByName(waiting)
+        n, n_units, least, longest, bundled = counted(state)
+        if not n_units or (n_before - n_units) * FEW > n_before:
+            continue
+        if bundled > 1:
             half = F.ceil(F.col("m") / 2).cast("long")
             halves = F.array(F.struct(F.lit(0).cast("long").alias("skip"), half.alias("n")), F.struct(half.alias("skip"), (F.col("m") - half).alias("n")))
             split = waiting.withColumn("h", F.explode(halves)).where("h.n > 0")
             split = split.select((F.col("a") * F.col("h.n")).alias("size"), "unit", "a", (F.col("b") + F.col("h.skip")).alias("b"), F.col("h.n").alias("m"))
-            state = storage.cut(open_.unionByName(split), "state")
-        elif n_placed:
-            state = storage.cut(open_.unionByName(waiting), "state")
-        else:
+            state = open_.unionByName(split)
+            n, n_units, least, longest, bundled = counted(state)
+        elif n_before == n_units:
             each = seq_len // longest  # single pieces, none longer than the longest
-            ranked = _running(waiting, [F.desc("size"), "a", "b"], F.lit(1).cast("long"), "place", tasks)
+            ranked = _running(waiting, [F.desc("size"), "a", "b"], F.lit(1).cast("long"), "place", max(1, n_units // ROUND_ROWS))
             ranked = ranked.withColumn("by", F.lit(opened) + F.floor((F.col("place") - 1) / each))
             own = Window.partitionBy("by").orderBy("place")
-            ranked = storage.cut(ranked.select("a", "b", "m", "by", "size", (F.sum("size").over(own) - F.col("size")).alias("offset")), "places")
-            done.append(ranked.select(F.col("a").alias("length"), F.col("b").alias("rank"), "m", F.col("by").alias("sequence_id"), "offset"))
-            opened += -(-n_units // each)
-            storage.drop_cut(here)
+            done.append(ranked.select(F.col("a").alias("length"), F.col("b").alias("rank"), "m", F.col("by").alias("sequence_id"), (F.sum("size").over(own) - F.col("size")).alias("offset")))
             break
-        storage.drop_cut(here)
     return reduce(lambda x, y: x.unionByName(y), done)
 
 
@@ -370,6 +363,8 @@ def read_shards(spark: SparkSession, path: str, manifest: DataFrame) -> DataFram
     """Every segment as the shards have it, one task for each: its ids are cut from the matrix by cu_seqlens.
 
     Position resets and the segment table are held against cu_seqlens; a difference fails.
+    A null id comes back null; a manifest without shards gives an empty result; files that
+    the manifest does not name are not read.
     """
     lost = np.iinfo(np.int64).min
 
