@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +17,8 @@ from . import sketch, storage
 WINDOW = 50
 #: Windows of one bucket of the exact grouping, about, were all repeated.
 GROUP = 1 << 20
+#: Blocks whose windows meet in one step of it.
+MEET = 1 << 16
 
 
 def _windows(size: int, both: bool):
@@ -97,16 +98,16 @@ def repeated_windows(blocks: bl.Blocks, size: int = WINDOW) -> DataFrame:
     """(block, n, docs, starts): the window starts whose words also start in a document with a smaller id.
 
     Pass 1 sketches all windows; pass 2 keeps those whose estimate is two or more, none of
-    the repeated ones being lost. Windows are grouped exactly, by a 128-bit hash, in three
-    steps, each of which decides what has a smaller document at hand and sends on one
-    document for each window: inside a block, among blocks that share a number modulo the
-    square root of their count, and among all. A passage that a third of all documents
-    hold thus arrives nowhere more often than that root.
+    the repeated ones being lost. Windows are grouped exactly, by a 128-bit hash, in steps,
+    each of which decides what has a smaller document at hand and sends on one document for
+    each window: inside a block, among at most MEET blocks, and, where there are more, among
+    all. A passage that a third of all documents hold thus arrives nowhere more often than
+    MEET times or once for every MEET blocks.
     """
     plan = sketch.Plan(blocks.bytes // sketch.HASH_BYTES)
     answers = sketch.counted(blocks, _windows(size, False), plan)
     buckets = max(8, blocks.bytes // sketch.HASH_BYTES // GROUP)
-    salts = math.isqrt(max(blocks.count, 1))
+    salts = -(-max(blocks.count, 1) // MEET)
 
     def survivors(block: int, batch: pa.RecordBatch, found: pa.Table) -> pa.Table:
         held, before = [], block << bl.ROW_BITS
@@ -121,12 +122,15 @@ def repeated_windows(blocks: bl.Blocks, size: int = WINDOW) -> DataFrame:
         return _settle(*_unpacked(table), buckets)
 
     rows = storage.cut(bl.together(blocks, answers, survivors, f"{_KINDS}, salt long"), "windows")
-    second = storage.cut(rows.where("bucket >= 0").groupBy("bucket", "salt").applyInArrow(again, _KINDS), "windows")
-    third = second.where("bucket >= 0").groupBy("bucket").applyInArrow(again, _KINDS)
-    found = rows.drop("salt").unionByName(second).where("bucket < 0").unionByName(third.where("bucket < 0"))
+    remote = rows.where("bucket >= 0").groupBy("bucket", "salt").applyInArrow(again, _KINDS)
+    if salts > 1:
+        some = storage.cut(remote, "windows")
+        remote = some.where("bucket < 0").unionByName(some.where("bucket >= 0").groupBy("bucket").applyInArrow(again, _KINDS))
+    found = rows.drop("salt").unionByName(remote).where("bucket < 0")
     out = storage.cut(found.select((-1 - F.col("bucket")).alias("block"), "n", F.col("ref").alias("docs"), F.col("pos").alias("starts")), "spans")
     storage.drop_cut(rows)
-    storage.drop_cut(second)
+    if salts > 1:
+        storage.drop_cut(some)
     return out
 
 
