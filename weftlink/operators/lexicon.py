@@ -64,10 +64,11 @@ def abbreviations(rows: DataFrame) -> DataFrame:
 
 def chosen(seen: DataFrame, min_count: int, min_share: float) -> DataFrame:
     """(field, src, dst, n): for each word its most frequent partner, often enough and in a large enough share of its occurrences."""
-    counts = seen.where("dst IS NOT NULL").groupBy("field", "src", "dst").agg(F.count("*").alias("n"))
-    totals = seen.groupBy("field", "src").agg(F.count("*").alias("total"))
-    fine = counts.join(totals, ["field", "src"]).where((F.col("n") >= min_count) & (F.col("n") / F.col("total") >= min_share))
-    rank = F.row_number().over(Window.partitionBy("field", "src").orderBy(F.col("n").desc(), "dst"))
+    # one pass: seen is made by comparing words, and two branches would make it twice
+    counts = seen.groupBy("field", "src", "dst").agg(F.count("*").alias("n"))
+    word = Window.partitionBy("field", "src")
+    fine = counts.withColumn("total", F.sum("n").over(word)).where(F.col("dst").isNotNull() & (F.col("n") >= min_count) & (F.col("n") / F.col("total") >= min_share))
+    rank = F.row_number().over(word.orderBy(F.col("n").desc(), "dst"))
     return fine.withColumn("__rank", rank).where("__rank = 1").select("field", "src", "dst", "n")
 
 
