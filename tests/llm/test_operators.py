@@ -640,6 +640,39 @@ def test_components_of_a_long_path(spark):
     assert got == {**{i: 5 for i in range(5, 66)}, 900: 900, 901: 900}
 
 
+def written_tables(monkeypatch):
+    """Kinds of the tables that storage.cut writes from now on."""
+    kinds, cut = [], storage.cut
+    monkeypatch.setattr(storage, "cut", lambda df, kind="cut", by=None: (kinds.append(kind), cut(df, kind, by))[1])
+    return kinds
+
+
+def test_components_of_few_edges_take_no_rounds(spark, monkeypatch):
+    """Few edges are joined by one task: a table of edges is written and no rounds; rounds give the same."""
+    r = random.Random(4)
+    rows = [(r.randrange(-300, 300), r.randrange(-300, 300)) for _ in range(250)] + [(i, 5000) for i in range(1000, 1100)] + [(i, i + 1) for i in range(2000, 2100)] + [(7, 7), (None, 8)]
+    kinds = written_tables(monkeypatch)
+    for kind in ("long", "int"):
+        edges = spark.createDataFrame(rows, f"a {kind}, b {kind}").repartition(5)
+        kinds.clear()
+        found = components.connected(edges)
+        got = {x.id: x.component for x in found.collect()}
+        assert kinds == ["edges"] and dict(found.dtypes) == {"id": edges.dtypes[0][1], "component": edges.dtypes[0][1]}
+        with monkeypatch.context() as m:
+            m.setattr(components, "FEW", -1)
+            assert got == {x.id: x.component for x in components.connected(edges).collect()} and len(kinds) > 3
+    assert got[1099] == 1000 and got[2100] == 2000
+    assert components.connected(edges.where("false")).count() == 0
+
+
+def test_op2_round_of_few_rows_is_one_task(spark, monkeypatch):
+    """A round of a single range neither looks for borders nor writes ranges: its totals are one window's."""
+    kinds = written_tables(monkeypatch)
+    rows = [(9, False, 0, 0, 0), (5, False, 1, 0, 0), (4, True, 4, 0, 1), (7, True, 7, 0, 1)]
+    got = packing.sweep(spark.createDataFrame(rows, packing._STATE), 1)
+    assert kinds == ["round"] and sorted((x.size, x.by_size) for x in got.collect() if x.unit) == [(4, 5), (7, 9)]
+
+
 def test_storage_reads_the_sessions_folder(spark):
     assert storage.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert os.path.isdir(storage.cut(spark.range(1))._weftlink_path.removeprefix("file://"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +14,35 @@ from . import storage
 
 #: From so many edges on, minima are written before they are joined, so that the join of a hot centre can be split.
 MANY = 1_000_000
+#: Up to so many edges of whole numbers, one task makes the rounds in its memory (16 bytes an edge, some copies).
+FEW = 500_000
+
+
+def least_reachable(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, component) of the ends of edges (a, b): each round links the roots of both ends to the lesser one, and every id to its root."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    root = np.arange(len(ids))
+    while len(x):
+        np.minimum.at(root, np.maximum(root[x], root[y]), np.minimum(root[x], root[y]))
+        while not np.array_equal(root, up := root[root]):
+            root = up
+        apart = root[x] != root[y]
+        x, y = x[apart], y[apart]
+    return ids, ids[root]
+
+
+def _in_one_task(edges: DataFrame) -> DataFrame:
+    """connected of a table (u, v) of few edges of whole numbers."""
+    kind = edges.schema["u"].dataType.simpleString()
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches, schema)
+        found = least_reachable(*(table.column(c).to_numpy() for c in ("u", "v")))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["id", "component"])
+
+    schema = pa.schema([(c, pa.int64() if kind == "bigint" else pa.int32()) for c in ("u", "v")])
+    return edges.coalesce(1).mapInArrow(join, f"id {kind}, component {kind}")
 
 
 def _star(pairs: DataFrame, many: bool) -> tuple[DataFrame, DataFrame | None]:
@@ -27,8 +60,10 @@ def connected(edges: DataFrame) -> DataFrame:
     changes nothing ends the loop (about log of the longest path). Minima are taken in
     partial aggregates, so a centre with most of the edges is no hot group; the join back
     is a plain equality join, between plain exchanges where edges are many, which adaptive
-    execution can split. Every round is written to the shared folder. Loops and null ends
-    are ignored; without edges the result is empty.
+    execution can split. Every round is written to the shared folder. Where edges are FEW,
+    the same is done by one task in its memory: their rounds are hardly any work, but each
+    is a plan of many stages for the driver. Loops and null ends are ignored; without edges
+    the result is empty.
     """
     now = storage.cut(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
@@ -38,6 +73,10 @@ def connected(edges: DataFrame) -> DataFrame:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
+        if before is None and state[0] <= FEW and {k for _, k in now.dtypes} in ({"bigint"}, {"int"}):
+            out = _in_one_task(now)
+            out._weftlink_path = now._weftlink_path
+            return out
         before = state
         many = state[0] > MANY
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

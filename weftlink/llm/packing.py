@@ -62,8 +62,10 @@ def _running(rows: DataFrame, order: list, value: Column, name: str, tasks: int)
     """rows, range-sorted by order, with the running total of value (own row included); no task has more than a range.
 
     Every range sums its own rows; what came before a range is the sum of one row for each
-    range before it.
+    range before it. A single range is one task's window, without a scan for borders or sums to collect.
     """
+    if tasks == 1:
+        return rows.withColumn(name, F.sum(value).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     dealt = storage.cut(rows.repartitionByRange(tasks, *order).withColumn("__p", F.spark_partition_id()).withColumn("__v", value), "ranges")
     sums = {r["__p"]: r["n"] for r in dealt.groupBy("__p").agg(F.sum("__v").alias("n")).collect()}  # a row for each range
     before, total = [], 0
