@@ -647,6 +647,21 @@ def written_tables(monkeypatch):
     return kinds
 
 
+#: Nodes of plans that run Python on the executors.
+PYTHON = re.compile("Arrow|Pandas|Python")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def written_plans(monkeypatch):
+    """Plans of the tables that storage.cut writes from now on."""
+    plans, cut = [], storage.cut
+    monkeypatch.setattr(storage, "cut", lambda df, kind="cut", by=None: (plans.append(plan(df)), cut(df, kind, by))[1])
+    return plans
+
+
 def test_components_of_few_edges_take_no_rounds(spark, monkeypatch):
     """Few edges are joined by one task: a table of edges is written and no rounds; rounds give the same."""
     r = random.Random(4)
@@ -665,6 +680,32 @@ def test_components_of_few_edges_take_no_rounds(spark, monkeypatch):
     assert components.connected(edges.where("false")).count() == 0
 
 
+def test_components_without_python(spark, monkeypatch):
+    """native=True runs no Python: a round of few edges is one task without an exchange, and gives what the one task of Python and the rounds of many give."""
+    r = random.Random(4)
+    rows = [(r.randrange(-300, 300), r.randrange(-300, 300)) for _ in range(250)] + [(i, 5000) for i in range(1000, 1100)] + [(i, i + 1) for i in range(2000, 2100)] + [(7, 7), (None, 8)]
+    for kind in ("long", "int"):
+        edges = spark.createDataFrame(rows, f"a {kind}, b {kind}").repartition(5)
+        want = {x.id: x.component for x in components.connected(edges).collect()}
+        for few in (components.FEW, 300, -1):  # in one task at once, after some rounds, never
+            with monkeypatch.context() as m:
+                m.setattr(components, "FEW", few)
+                plans = written_plans(m)
+                found = components.connected(edges, native=True)
+                rows_of = [(x.id, x.component) for x in found.collect()]
+            assert dict(rows_of) == want and len(rows_of) == len(want) and not any(PYTHON.search(p) for p in [*plans, plan(found)])
+            assert dict(found.dtypes) == {"id": edges.dtypes[0][1], "component": edges.dtypes[0][1]}
+            if few > 300:
+                assert len(plans) > 2 and not any("Exchange" in p for p in [*plans[1:], plan(found)])
+    assert components.connected(edges.where("false"), native=True).count() == 0
+
+
+def test_op5_runs_no_python(spark, docs, monkeypatch):
+    plans = written_plans(monkeypatch)
+    for made in (linededup.line_report(docs), linededup.dedup_lines(docs)):
+        assert made.count() > 0 and len(plans) > 10 and not any(PYTHON.search(p) for p in [*plans, plan(made)])
+
+
 def test_op2_round_of_few_rows_is_one_task(spark, monkeypatch):
     """A round of a single range neither looks for borders nor writes ranges: its totals are one window's."""
     kinds = written_tables(monkeypatch)

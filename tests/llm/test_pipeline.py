@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.test_operators import BASE, ROWS, brute_groups, edit_words, words
+from tests.llm.test_operators import BASE, PYTHON, ROWS, brute_groups, edit_words, plan, words, written_plans
 from weftlink.llm import storage
 
 SF = "/root/testdata/sf0.001"
@@ -50,6 +50,14 @@ def test_stages(spark):
     assert docs.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
 
 
+def test_line_dedup_runs_no_python(spark, monkeypatch):
+    """The stage on the test table, whose lines have near copies: rounds are made, and no plan of the stage runs Python."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plans = written_plans(monkeypatch)
+    after = dict(corpus_pipeline.STAGES)["line dedup"](spark, docs, SF)
+    assert 0 < after.count() < docs.count() and len(plans) > 10 and not any(PYTHON.search(p) for p in [*plans, plan(after)])
+
+
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("sf"))

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import storage
@@ -45,6 +45,19 @@ def _in_one_task(edges: DataFrame) -> DataFrame:
     return edges.coalesce(1).mapInArrow(join, f"id {kind}, component {kind}")
 
 
+def _each(*pairs: tuple[str, str], names: tuple[str, str] = ("u", "v")) -> Column:
+    """A row for each of these pairs of columns."""
+    return F.inline(F.array(*[F.struct(*[F.col(c).alias(n) for c, n in zip(p, names)]) for p in pairs]))
+
+
+def _round_in_one_task(now: DataFrame) -> DataFrame:
+    """One round of large and small stars of a table (u, v) of few edges, v the lesser: windows over one partition, so nothing is dealt."""
+    least = F.min("v").over(Window.partitionBy("u"))
+    wide = now.coalesce(1).select(_each(("u", "v"), ("v", "u"))).withColumn("m", F.least("u", least))
+    large = wide.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return large.withColumn("m", least).select(_each(("u", "m"), ("v", "m"))).where("u <> v").distinct()
+
+
 def _star(pairs: DataFrame, many: bool) -> tuple[DataFrame, DataFrame | None]:
     """For (u, v) rows the least of u and its v, beside each row; and the table to drop afterwards, if there is one."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
@@ -52,7 +65,7 @@ def _star(pairs: DataFrame, many: bool) -> tuple[DataFrame, DataFrame | None]:
     return pairs.join(least if made is None else made, F.col("u") == F.col("c")).drop("c"), made
 
 
-def connected(edges: DataFrame) -> DataFrame:
+def connected(edges: DataFrame, native: bool = False) -> DataFrame:
     """(id, component) for every id on an edge (a, b); component is the least id reachable.
 
     Each round links every neighbour to the least one of its centre, first the larger
@@ -62,17 +75,24 @@ def connected(edges: DataFrame) -> DataFrame:
     is a plain equality join, between plain exchanges where edges are many, which adaptive
     execution can split. Every round is written to the shared folder. Where edges are FEW,
     the same is done by one task in its memory: their rounds are hardly any work, but each
-    is a plan of many stages for the driver. Loops and null ends are ignored; without edges
-    the result is empty.
+    is a plan of many stages for the driver. native=True runs no Python on the executors:
+    the rounds of FEW edges are then DataFrame expressions over one partition, a task each.
+    Loops and null ends are ignored; without edges the result is empty.
     """
     now = storage.cut(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
     )
     before = None
     while True:
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        few = native and before is not None and before[0] <= FEW  # of the table before this one; no round has more edges than that before
+        state = (now.coalesce(1) if few else now).agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
+        if native and state[0] <= FEW:
+            before, after = state, storage.cut(_round_in_one_task(now), "edges")
+            storage.drop_cut(now)
+            now = after
+            continue
         if before is None and state[0] <= FEW and {k for _, k in now.dtypes} in ({"bigint"}, {"int"}):
             out = _in_one_task(now)
             out._weftlink_path = now._weftlink_path
@@ -91,6 +111,10 @@ def connected(edges: DataFrame) -> DataFrame:
             if x is not None:
                 storage.drop_cut(x)
         now = after
+    if few:  # stars by now: each u has one v
+        out = now.coalesce(1).select(_each(("u", "v"), ("v", "v"), names=("id", "component"))).distinct()
+        out._weftlink_path = now._weftlink_path
+        return out
     out = now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component").unionByName(
         now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     )

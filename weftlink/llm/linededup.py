@@ -141,7 +141,7 @@ def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = MAX_EDI
     centre = storage.cut(centre, "centres")
     starred = member.join(centre, "key").where((F.col("node") != F.col("c")) & _may_be_near(F.col("sig"), F.col("csig"), edits))
     edges = verified(starred.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")))
-    reached = components.connected(edges)
+    reached = components.connected(edges, native=True)
     classes = storage.cut(reached, "classes")
     storage.drop_cut(reached)
     of = classes.select(F.col("id").alias("cid"), "component")
@@ -170,7 +170,7 @@ def line_verdicts(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = MAX_
     repeated = storage.cut(repeated_lines(seen), "repeated")
     many = repeated.where(F.col("c") * HEAVY > F.lit(seen.count()))
     texts, edges = near_lines(docs, min_chars, edits, many)
-    reached = components.connected(edges)
+    reached = components.connected(edges, native=True)
     linked = texts.join(reached, F.col("node") == reached["id"]).select(texts["id"].alias("lid"), F.col("id2").alias("lid2"), "component")
     linked = storage.cut(linked, "linked")
     for x in (texts, edges, reached):
